@@ -28,7 +28,7 @@ NODE_SCHEMA = (
 )
 # The pool that trees draw from holds this many times the rows they need.
 POOL_FACTOR = 2
-_HASH_SPAN = 1 << 30
+BLOCK_ROWS = 4096
 
 
 def expected_path(n):
@@ -94,22 +94,26 @@ class ScoringForest:
         own = np.arange(len(nodes))
         leaf = nodes["feature"].to_numpy() < 0
         self.roots = np.flatnonzero(nodes["node"].to_numpy() == 0)
-        self.left = np.where(leaf, own, nodes["left"].to_numpy() + offset)
-        self.right = np.where(leaf, own, nodes["right"].to_numpy() + offset)
+        left = np.where(leaf, own, nodes["left"].to_numpy() + offset)
+        right = np.where(leaf, own, nodes["right"].to_numpy() + offset)
+        self.child = np.column_stack([left, right]).ravel()
         self.feature = np.where(leaf, 0, nodes["feature"].to_numpy())
         self.depth = int(nodes["depth"].max()) if len(nodes) else 0
         self.path = nodes["depth"].to_numpy() + expected_path(nodes["rows"].to_numpy())
         self.scale = float(expected_path([sample_rows])[0]) or 1.0
-        self.z_count = z_count
-        self.is_text = nodes["category"].notna().to_numpy()
+        # A row goes right if its value is in (low, high]: above the cut of a
+        # number, or at the code of a category.
+        is_text = nodes["category"].notna().to_numpy()
+        low = np.nan_to_num(nodes["threshold"].to_numpy(dtype=float))
+        high = np.full(len(nodes), np.inf)
         self.codes = []
-        cut = nodes["threshold"].to_numpy(dtype=float).copy()
         for j in range(c_count):
-            used = self.is_text & (self.feature == z_count + j)
+            used = is_text & (self.feature == z_count + j)
             values = sorted(set(nodes.loc[used, "category"]))
             self.codes.append(values)
-            cut[used] = pd.Categorical(nodes.loc[used, "category"], categories=values).codes
-        self.cut = np.nan_to_num(cut)
+            code = pd.Categorical(nodes.loc[used, "category"], categories=values).codes
+            low[used], high[used] = code - 0.5, code + 0.5
+        self.low, self.high = low, high
 
     def score(self, numbers: list[pd.Series], texts: list[pd.Series]) -> np.ndarray:
         """Minus two to the minus relative mean path: lower is more abnormal."""
@@ -119,16 +123,25 @@ class ScoringForest:
             for t, values in zip(texts, self.codes)
         ]
         points = np.column_stack(columns)
-        rows = np.arange(len(points))
+        total = np.zeros(len(points))
+        for start in range(0, len(points), BLOCK_ROWS):
+            block = points[start : start + BLOCK_ROWS]
+            total[start : start + BLOCK_ROWS] = self._path_sum(block)
+        return -np.exp2(-total / (max(1, len(self.roots)) * self.scale))
+
+    def _path_sum(self, points: np.ndarray) -> np.ndarray:
+        """Path lengths over all trees; blocks are small enough to stay in cache."""
+        cells_flat = points.ravel()
+        first = np.arange(len(points)) * points.shape[1]
         total = np.zeros(len(points))
         for root in self.roots:
             node = np.full(len(points), root)
             for _ in range(self.depth):
-                value, cut = points[rows, self.feature[node]], self.cut[node]
-                goes_left = np.where(self.is_text[node], value != cut, value <= cut)
-                node = np.where(goes_left, self.left[node], self.right[node])
-            total += self.path[node]
-        return -np.exp2(-total / (max(1, len(self.roots)) * self.scale))
+                value = cells_flat.take(first + self.feature.take(node))
+                goes_right = (value > self.low.take(node)) & (value <= self.high.take(node))
+                node = self.child.take(2 * node + goes_right)
+            total += self.path.take(node)
+        return total
 
 
 @dataclass(frozen=True)
@@ -141,13 +154,10 @@ class IsolationForest:
     def raw_score(self, df: DataFrame) -> Column:
         """Score column for a table that still has its raw columns."""
         z, c = len(self.features.z_names), len(self.features.c_names)
-        forest = df.sparkSession.sparkContext.broadcast(
-            ScoringForest(self.nodes, z, c, self.sample_rows)
-        )
+        model = ScoringForest(self.nodes, z, c, self.sample_rows)
 
         @F.pandas_udf("double")
         def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            model = forest.value
             for columns in batches:
                 yield pd.Series(model.score(list(columns[:z]), list(columns[z:])))
 
@@ -207,22 +217,26 @@ def draw_samples(
     if total > need:
         rows = rows.sample(need / total, seed)
     names = features.names
+    tasks = min(trees, clean.sparkSession.sparkContext.defaultParallelism)
     # Equal rows are told apart by a copy number, so that one of them does not
-    # bring all the others along.
-    copies = rows.groupBy("_id", *names).count()
+    # bring all the others along. The pool is small, but hashing it takes long,
+    # hence the fixed number of tasks.
+    copies = rows.repartition(tasks, "_id", *names).groupBy("_id", *names).count()
     pool = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int")))).drop("count")
-    # Each tree takes the rows with its smallest hashes. Rows far above the
-    # expected cut are left out before they are ranked.
-    expected = min(total, need)
-    bound = min(_HASH_SPAN, math.ceil(_HASH_SPAN * (3.0 * size + 64) / max(1, expected)))
-    draw = lambda t: F.pmod(F.xxhash64(F.col("_row"), t), F.lit(_HASH_SPAN))
-    hashed = pool.withColumn("_row", F.xxhash64(F.lit(seed), "_id", "_copy", *names))
-    chosen = hashed.select(
-        "*", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < bound)).alias("tree")
+    # Every row offers itself to a few trees, so that each tree gets about
+    # three times the rows it takes; it takes those with the smallest hashes.
+    offers = math.ceil(trees * (3.0 * size + 64) / max(1, min(total, need)))
+    if offers * 2 >= trees:
+        asked = F.sequence(F.lit(0), F.lit(trees - 1))
+    else:
+        pick = lambda i: F.pmod(F.xxhash64("_row", i), F.lit(trees)).cast("int")
+        asked = F.array_distinct(F.array(*[pick(F.lit(i)) for i in range(offers)]))
+    offered = pool.withColumn("_row", F.xxhash64(F.lit(seed), "_id", "_copy", *names)).select(
+        "*", F.explode(asked).alias("tree")
     )
-    first = Window.partitionBy("tree").orderBy("_draw", "_row")
-    ranked = chosen.withColumn("_draw", draw(F.col("tree"))).withColumn("_place", F.row_number().over(first))
-    return ranked.filter(F.col("_place") <= size).select("tree", "_place", *names), size
+    first = Window.partitionBy("tree").orderBy(F.xxhash64("_row", "tree", F.lit(seed)), "_row")
+    ranked = offered.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= size)
+    return ranked.select("tree", "_place", *names), size
 
 
 def fit_forest(clean: DataFrame, features: FittedFeatures, spec: QualitySpec) -> IsolationForest:
@@ -237,5 +251,7 @@ def fit_forest(clean: DataFrame, features: FittedFeatures, spec: QualitySpec) ->
         ordered = rows.sort_values("_place", ignore_index=True)
         return _grow_tree(ordered, int(rows["tree"].iloc[0]), z_names, c_names, seed)
 
-    nodes = samples.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+    # A fixed number of partitions: the rows are few, but growing takes long.
+    tasks = min(spec.n_estimators, clean.sparkSession.sparkContext.defaultParallelism)
+    nodes = samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
     return IsolationForest(features, nodes, size)

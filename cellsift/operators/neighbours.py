@@ -294,11 +294,16 @@ class NeighbourIndex:
 
     def _known_categories(self) -> dict[str, list[str] | None]:
         """Distinct reference categories where they are few, else None."""
-        known = {}
-        for c in self.features.c_names:
-            values = self.rows.select(c).distinct().limit(MAX_KNOWN_LITERALS + 1).collect()
-            known[c] = [v[0] for v in values] if len(values) <= MAX_KNOWN_LITERALS else None
-        return known
+        names = self.features.c_names
+        if not names:
+            return {}
+        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(names)]))
+        distinct = self.rows.select(pairs.alias("p")).select("p.*").distinct()
+        limit = MAX_KNOWN_LITERALS
+        few = distinct.limit(limit + 1).collect()
+        if len(few) > limit:
+            return {c: None for c in names}
+        return {c: [r["v"] for r in few if r["i"] == i] for i, c in enumerate(names)}
 
     # Searching -----------------------------------------------------------
     def search(self, queries: DataFrame, name: str = "neighbours") -> DataFrame:
@@ -451,6 +456,12 @@ class NeighbourIndex:
             return out.cast(arrow_schema)
 
         group = ["_leaf", "_sub", "_chunk"]
+        # Work grows with pairs, not bytes, so the number of tasks is set here.
+        groups = sum(subs * chunks for _, subs, chunks in plan)
+        context = self.spark.sparkContext
+        shuffles = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(1, min(groups, max(shuffles, context.defaultParallelism)))
+        left, right = left.repartition(tasks, *group), right.repartition(tasks, *group)
         met = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(meet, schema)
         if bound_only:
             # Parts of a split leaf give one bound each; every one of them holds.

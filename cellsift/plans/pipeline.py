@@ -65,8 +65,7 @@ def run_detection(df: DataFrame, spec: QualitySpec, coerce: str = "before") -> D
 
     # Findings and the clean flag are row facts; only ruled columns are kept.
     marked = coerce_types(rules.mark_clean(table.select(*spec.ruled_columns), spec), spec)
-    marked = marked.persist(_DISK)
-    held.append(marked)
+    marked = _spread(marked.persist(_DISK), held)
     clean = marked.filter("is_clean")
     if clean.isEmpty():
         marked = marked.withColumn("is_clean", F.lit(True))
@@ -90,6 +89,20 @@ def run_detection(df: DataFrame, spec: QualitySpec, coerce: str = "before") -> D
     return DetectionRun(table, issues, scores, features, model, spec, held)
 
 
+# Below this many rows a table may sit in fewer partitions than there are cores.
+SMALL_ROWS = 5_000_000
+
+
+def _spread(df: DataFrame, held: list) -> DataFrame:
+    """Spread a small table over all cores: scoring costs time, not bytes."""
+    held.append(df)
+    if df.count() >= SMALL_ROWS:
+        return df
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism).persist(_DISK)
+    held.append(spread)
+    return spread
+
+
 def _rows_with_neighbours(judged: DataFrame, clean: DataFrame, features: FittedFeatures, spec: QualitySpec):
     """Rows that need neighbours: anomalies, and rows with a missing cell."""
     has_gap = F.exists("findings", lambda f: f["issue_type"] == "missing")
