@@ -9,6 +9,7 @@ from cellsift.functions import arrays, cells
 from cellsift.operators.features import FittedFeatures
 from cellsift.operators.neighbours import NeighbourIndex
 from cellsift.operators.rules import ANOMALY, ANOMALY_METHOD, issue_seq
+from cellsift.sources.scratch import cut_lineage
 from cellsift.spec import QualitySpec
 
 # Score and confidence of an anomaly before a repair is known.
@@ -64,28 +65,28 @@ def suspicious_columns(df: DataFrame, spec: QualitySpec, near: str = "neighbours
 
 def suspicious_columns_left_out(
     df: DataFrame, reference: DataFrame, features: FittedFeatures, spec: QualitySpec
-) -> tuple[DataFrame, list[NeighbourIndex]]:
+) -> DataFrame:
     """Like ``suspicious_columns``, but a column is judged by neighbours found without it.
 
     The distance for a column leaves out the column itself and those derived
-    from it or feeding it. Returns the table and the indexes to close later.
+    from it or feeding it. The table is written after each column, which keeps
+    every search a job of its own.
     """
     columns = attributable_columns(df, spec)
-    indexes, flags, out = [], [], df
+    flags, out = [], df
     for c in columns:
         rest = features.without(spec.related_columns(c))
         if not rest.names:
             flags.append(F.when(F.col(c).isNull(), F.lit(c)))
             continue
         index = NeighbourIndex(reference, rest, spec.id_column, [c], spec.knn_neighbors, seed=spec.random_state)
-        indexes.append(index)
-        out = index.k_nearest(out, exclude_self=spec.id_column, name="_near")
-        wide = with_neighbour_values(out, spec, "_near", [c])
-        kept = [k for k in out.columns if k != "_near"]
-        out = wide.withColumn(f"_odd__{c}", is_suspicious(wide, spec, c)).select(*kept, f"_odd__{c}")
+        kept = out.columns
+        near = index.k_nearest(out, exclude_self=spec.id_column, name="_near")
+        wide = with_neighbour_values(near, spec, "_near", [c])
+        out = cut_lineage(wide.withColumn(f"_odd__{c}", is_suspicious(wide, spec, c)).select(*kept, f"_odd__{c}"), "left_out")
+        index.close()
         flags.append(F.when(F.col(f"_odd__{c}"), F.lit(c)))
-    named = out.withColumn("suspects", F.array_compact(F.array(*flags)))
-    return named.select(*df.columns, "suspects"), indexes
+    return out.withColumn("suspects", F.array_compact(F.array(*flags))).select(*df.columns, "suspects")
 
 
 def anomaly_findings(df: DataFrame, spec: QualitySpec) -> Column:

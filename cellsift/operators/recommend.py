@@ -175,8 +175,8 @@ def recommend_from_neighbours(rows: DataFrame, spec: QualitySpec, near: str = "n
     flat = wide.select(
         F.col(spec.id_column).cast("string").alias("row_id"),
         *[f"s__{c}" for c in asked],
-        F.inline("findings"),
-    )
+        F.inline_outer("findings"),
+    ).filter(F.col("column_name").isNotNull())
     suggestion = no_suggestion()
     for c in asked:
         suggestion = F.when(F.col("column_name") == c, F.col(f"s__{c}")).otherwise(suggestion)

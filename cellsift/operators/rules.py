@@ -234,7 +234,10 @@ def with_findings(df: DataFrame, spec: QualitySpec, kinds=ALL_KINDS) -> DataFram
 
 def explode_findings(rows: DataFrame, spec: QualitySpec) -> DataFrame:
     """One issue per finding, without suggestions yet."""
-    return rows.select(F.col(spec.id_column).cast("string").alias("row_id"), F.inline("findings"))
+    # The outer form keeps Spark from inferring a filter on the array and
+    # copying all checks into it; rows without findings are dropped right after.
+    flat = rows.select(F.col(spec.id_column).cast("string").alias("row_id"), F.inline_outer("findings"))
+    return flat.filter(F.col("column_name").isNotNull())
 
 
 def as_issues(findings: DataFrame) -> DataFrame:

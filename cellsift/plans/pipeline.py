@@ -13,6 +13,7 @@ from cellsift.operators.features import FittedFeatures, fit_features
 from cellsift.operators.neighbours import NeighbourIndex
 from cellsift.operators.normalize import coerce_types
 from cellsift.plans import report
+from cellsift.sources.scratch import cut_lineage
 from cellsift.spec import QualitySpec
 
 _DISK = StorageLevel.MEMORY_AND_DISK
@@ -46,8 +47,8 @@ class DetectionRun:
         return self.issues.select(*rules.ISSUE_COLUMNS)
 
     def close(self) -> None:
-        for thing in self._held:
-            thing.unpersist() if isinstance(thing, DataFrame) else thing.close()
+        for df in self._held:
+            df.unpersist()
         self._held.clear()
 
 
@@ -73,15 +74,18 @@ def run_detection(df: DataFrame, spec: QualitySpec, coerce: str = "before") -> D
 
     features = fit_features(clean, spec)
     model = forest.fit_forest(clean, features, spec)
-    scored = marked.withColumn("raw_score", model.raw_score(marked)).persist(_DISK)
-    held.append(scored)
-    offset = forest.score_offset(scored.filter("is_clean"), spec.contamination)
+    # Scores are dear: they are written, so no lost executor makes them anew.
+    scored = cut_lineage(marked.withColumn("raw_score", model.raw_score(marked)), "scored")
+    for df in held:
+        df.unpersist()
+    held.clear()
+    clean = scored.filter("is_clean")
+    offset = forest.score_offset(clean.select("raw_score"), spec.contamination)
     model = model.with_offset(offset)
     judged = forest.with_decision(scored, offset)
 
-    neighbours, near_held = _rows_with_neighbours(judged, clean, features, spec)
-    held += near_held
-    issues = rules.as_issues(_all_findings(judged, neighbours, spec)).persist(_DISK)
+    near, odd = _rows_with_neighbours(judged, clean, features, spec)
+    issues = rules.as_issues(_all_findings(judged, near, odd, spec)).persist(_DISK)
     held.append(issues)
     scores = judged.select(
         F.col(spec.id_column).cast("string").alias("row_id"), "raw_score", "decision_score", "is_anomaly"
@@ -112,20 +116,16 @@ def _rows_with_neighbours(judged: DataFrame, clean: DataFrame, features: FittedF
         clean, features, spec.id_column, columns, spec.knn_neighbors, seed=spec.random_state
     )
     own = None if spec.neighbours == "reference" else spec.id_column
-    near = index.k_nearest(wanted, exclude_self=own).persist(_DISK)
-    held: list = [index, near]
+    near = cut_lineage(index.k_nearest(wanted, exclude_self=own), "neighbours")
+    index.close()
+    anomalous = near.filter("is_anomaly = 1")
     if spec.neighbours == "leave_one_feature_out":
-        odd = near.filter("is_anomaly = 1")
-        odd, indexes = attribute.suspicious_columns_left_out(odd, clean, features, spec)
-        held += indexes
-    else:
-        odd = attribute.suspicious_columns(near.filter("is_anomaly = 1"), spec)
-    return (near, odd), held
+        return near, attribute.suspicious_columns_left_out(anomalous, clean, features, spec)
+    return near, attribute.suspicious_columns(anomalous, spec)
 
 
-def _all_findings(judged: DataFrame, neighbours, spec: QualitySpec) -> DataFrame:
+def _all_findings(judged: DataFrame, near: DataFrame, odd: DataFrame, spec: QualitySpec) -> DataFrame:
     """Rule findings and anomaly findings, each with its recommendation."""
-    near, odd = neighbours
     certain = F.lit(1.0)
     missing = near.withColumn(
         "findings",

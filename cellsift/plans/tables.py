@@ -155,7 +155,7 @@ def events_spec() -> QualitySpec:
             "event_type": ColumnRule(
                 "categorical", required=True, allowed_values=("click", "view", "purchase", "signup")
             ),
-            "value": ColumnRule("numeric", required=True, max_value=40),
+            "value": ColumnRule("numeric", required=True, max_value=150),
         },
     )
 
@@ -171,3 +171,17 @@ def parts_spec() -> QualitySpec:
             "price": ColumnRule("numeric", required=True, min_value=0),
         },
     )
+
+
+def lines_spec() -> QualitySpec:
+    """Line items keyed by order, so that ids repeat."""
+    return QualitySpec(
+        table_name="lines",
+        id_column="l_orderkey",
+        cross_field=(),
+        rules={
+            "l_orderkey": ColumnRule("id", required=True, use_for_detection=False),
+            "l_quantity": ColumnRule("numeric", required=True, min_value=3, max_value=48),
+            "l_returnflag": ColumnRule("categorical", required=True, allowed_values=("A", "N")),
+        },
+    )

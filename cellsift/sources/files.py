@@ -13,7 +13,14 @@ from cellsift.operators.normalize import na_tokens_to_null
 
 FORMATS = ("csv", "parquet", "json", "orc")
 # Doubled quotes escape quotes, as in files written by spreadsheet tools.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# Blanks around a cell belong to it, also on writing.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 class TableSource(Protocol):
