@@ -1,7 +1,8 @@
 """Statistics over the short arrays that neighbour search attaches to a row.
 
 Such an array never holds more than the number of neighbours, so these stay
-row-local: no regrouping of the exploded neighbours is needed.
+row-local: no regrouping of the exploded neighbours is needed. All take column
+names; an array must not contain null.
 """
 
 from __future__ import annotations
@@ -10,44 +11,39 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def present(values: Column) -> Column:
-    return F.filter(values, lambda x: x.isNotNull())
+def present(path: str) -> Column:
+    """The array without nulls; empty for a null array."""
+    return F.expr(f"coalesce(filter({path}, x -> x IS NOT NULL), filter(slice({path}, 1, 0), x -> true))")
 
 
-def mean(values: Column) -> Column:
+def mean(values: str) -> Column:
     """Mean, the value itself if all are equal; null of an empty array."""
-    low, high = F.array_min(values), F.array_max(values)
-    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(low == high, low).otherwise(F.try_divide(total, F.size(values)))
+    return F.expr(
+        f"CASE WHEN array_min({values}) = array_max({values}) THEN array_min({values}) "
+        f"ELSE try_divide(aggregate({values}, 0D, (s, x) -> s + x), size({values})) END"
+    )
 
 
-def population_std(values: Column, centre: Column) -> Column:
+def population_std(values: str, centre: str) -> Column:
     """Deviation around a mean that was computed as a column of its own."""
-    squares = F.aggregate(
-        values, F.lit(0.0), lambda acc, x: acc + (x - centre) * (x - centre)
+    return F.expr(
+        f"CASE WHEN array_min({values}) = array_max({values}) THEN 0D ELSE sqrt(try_divide("
+        f"aggregate({values}, 0D, (s, x) -> s + (x - {centre}) * (x - {centre})), size({values}))) END"
     )
-    constant = F.array_min(values) == F.array_max(values)
-    return F.when(constant, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(squares, F.size(values))))
 
 
-def median(values: Column) -> Column:
-    ordered = F.array_sort(values)
-    size = F.size(values)
-    low = F.try_element_at(ordered, F.floor((size + 1) / 2).cast("int"))
-    high = F.try_element_at(ordered, F.floor((size + 2) / 2).cast("int"))
-    return F.when(size > 0, (low + high) / 2)
+def median(values: str) -> Column:
+    low, high = (f"element_at(array_sort({values}), cast((size({values}) + {i}) DIV 2 AS int))" for i in (1, 2))
+    return F.expr(f"CASE WHEN size({values}) > 0 THEN ({low} + {high}) / 2 END")
 
 
-def mode(values: Column) -> Column:
+def mode(values: str) -> Column:
     """Most frequent value, the smallest of several."""
-    ranked = F.transform(
-        F.array_distinct(values),
-        lambda x: F.struct(
-            (-F.size(F.filter(values, lambda y: y == x))).alias("neg_count"), x.alias("value")
-        ),
+    return F.expr(
+        f"array_min(transform(array_distinct({values}), x -> named_struct("
+        f"'neg_count', -size(filter({values}, y -> y = x)), 'value', x))).value"
     )
-    return F.array_min(ranked)["value"]
 
 
-def share(values: Column, wanted: Column) -> Column:
-    return F.try_divide(F.size(F.filter(values, lambda x: x == wanted)), F.size(values))
+def share(values: str, wanted: str) -> Column:
+    return F.expr(f"try_divide(size(filter({values}, x -> x = {wanted})), size({values}))")

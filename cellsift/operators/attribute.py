@@ -26,15 +26,15 @@ def with_neighbour_values(df: DataFrame, spec: QualitySpec, near: str = "neighbo
 
     Numbers also get mean and deviation, categories their mode.
     """
-    for c in columns or attributable_columns(df, spec):
-        values = arrays.present(F.col(near).getField(c))
-        df = df.withColumn(f"n__{c}", F.coalesce(values, F.slice(values, 1, 0)))
-        if spec.rules[c].dtype == "numeric":
-            df = df.withColumn(f"mean__{c}", arrays.mean(F.col(f"n__{c}")))
-            df = df.withColumn(f"std__{c}", arrays.population_std(F.col(f"n__{c}"), F.col(f"mean__{c}")))
-        else:
-            df = df.withColumn(f"mode__{c}", arrays.mode(F.col(f"n__{c}")))
-    return df
+    columns = columns or attributable_columns(df, spec)
+    numeric = [c for c in columns if spec.rules[c].dtype == "numeric"]
+    df = df.withColumns({f"n__{c}": arrays.present(f"{near}.`{c}`") for c in columns})
+    df = df.withColumns(
+        {f"mean__{c}": arrays.mean(f"n__{c}") for c in numeric}
+        | {f"mode__{c}": arrays.mode(f"n__{c}") for c in columns if c not in numeric}
+    )
+    spreads = {f"std__{c}": arrays.population_std(f"n__{c}", f"mean__{c}") for c in numeric}
+    return df.withColumns(spreads) if spreads else df
 
 
 def is_suspicious(df: DataFrame, spec: QualitySpec, c: str) -> Column:

@@ -75,7 +75,7 @@ class FittedFeatures:
         )
 
 
-def fit_features(df: DataFrame, spec: QualitySpec) -> FittedFeatures:
+def fit_features(df: DataFrame, spec: QualitySpec, rows: int | None = None) -> FittedFeatures:
     """Median, mean and population deviation per number, mode per category.
 
     Columns without any value are left out, as an imputer would drop them.
@@ -83,7 +83,7 @@ def fit_features(df: DataFrame, spec: QualitySpec) -> FittedFeatures:
     numeric = [c for c in spec.features_of("numeric") if c in df.columns]
     categorical = [c for c in spec.features_of("categorical") if c in df.columns]
     numbers = df.select(*[cells.to_number(F.col(c), df.schema[c].dataType).alias(c) for c in numeric])
-    medians = {c: q[0] for c, q in exact_quantiles(numbers, {c: [0.5] for c in numeric}).items()}
+    medians = {c: q[0] for c, q in exact_quantiles(numbers, {c: [0.5] for c in numeric}, rows).items()}
     numeric = [c for c in numeric if medians[c] is not None]
     stats = {}
     if numeric:

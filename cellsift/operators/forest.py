@@ -201,17 +201,20 @@ def with_decision(scored: DataFrame, offset: float) -> DataFrame:
     return scored.withColumns({"decision_score": decision, "is_anomaly": (decision < 0).cast("int")})
 
 
-def score_offset(scores: DataFrame, contamination: float, column: str = "raw_score") -> float:
+def score_offset(
+    scores: DataFrame, contamination: float, column: str = "raw_score", rows: int | None = None
+) -> float:
     """Score below which the given share of the fitted rows lies."""
-    return exact_quantiles(scores, {column: [contamination]})[column][0]
+    return exact_quantiles(scores, {column: [contamination]}, rows)[column][0]
 
 
 def draw_samples(
-    clean: DataFrame, features: FittedFeatures, id_column: str, trees: int, size: int, seed: int
+    clean: DataFrame, features: FittedFeatures, id_column: str, trees: int, size: int, seed: int,
+    total: int | None = None,
 ) -> tuple[DataFrame, int]:
     """(tree, features) rows: ``size`` rows for each tree, none twice in a tree."""
     rows = clean.select(F.col(id_column).cast("string").alias("_id"), *features.columns(clean))
-    total = rows.count()
+    total = rows.count() if total is None else total
     size = min(size, total)
     need = POOL_FACTOR * trees * size
     if total > need:
@@ -239,12 +242,14 @@ def draw_samples(
     return ranked.select("tree", "_place", *names), size
 
 
-def fit_forest(clean: DataFrame, features: FittedFeatures, spec: QualitySpec) -> IsolationForest:
+def fit_forest(
+    clean: DataFrame, features: FittedFeatures, spec: QualitySpec, rows: int | None = None
+) -> IsolationForest:
     """Grow all trees on executors; the nodes, a bounded table, come back."""
     z_names, c_names = features.z_names, features.c_names
     seed = spec.random_state
     samples, size = draw_samples(
-        clean, features, spec.id_column, spec.n_estimators, spec.max_samples, seed
+        clean, features, spec.id_column, spec.n_estimators, spec.max_samples, seed, rows
     )
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:

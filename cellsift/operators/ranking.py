@@ -107,18 +107,23 @@ class _Mark:
         self.open = False
 
 
-def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+def exact_quantiles(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], rows: int | None = None
+) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of double columns, exact at any size.
 
     Small tables use one percentile aggregate. On large ones a sketch brackets
     each rank, the bracket is verified by counting and only the values inside
-    it are looked at again.
+    it are looked at again. ``rows``, if the caller knows it, spares a count.
     """
     columns = list(wanted)
     if not columns:
         return {}
-    head = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    counts = {c: head[f"n{i}"] for i, c in enumerate(columns)}
+    if rows is not None and rows <= EXACT_ROWS:
+        counts = dict.fromkeys(columns, rows)
+    else:
+        head = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+        counts = {c: head[f"n{i}"] for i, c in enumerate(columns)}
     small = [c for c in columns if counts[c] <= EXACT_ROWS]
     out: dict[str, list[float | None]] = {}
     if small:

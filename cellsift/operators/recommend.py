@@ -38,7 +38,7 @@ def no_suggestion() -> Column:
 
 def neighbour_suggestion(spec: QualitySpec, column: str) -> Column:
     """Median or mode of the neighbours. Needs ``with_neighbour_values`` columns."""
-    values = F.col(f"n__{column}")
+    values = f"n__{column}"
     rule = spec.rules[column]
     if rule.dtype == "numeric":
         middle = F.round(arrays.median(values), 2)
@@ -47,8 +47,9 @@ def neighbour_suggestion(spec: QualitySpec, column: str) -> Column:
         confidence = F.when(mean == 0, F.lit(ZERO_MEAN_CONFIDENCE)).otherwise(cells.clamp(steady))
         found = _suggestion(middle.cast("string"), middle, confidence)
     elif rule.dtype == "categorical":
-        mode = F.col(f"mode__{column}")
-        found = _suggestion(mode, F.lit(None), cells.clamp(arrays.share(values, mode)))
+        found = _suggestion(
+            F.col(f"mode__{column}"), F.lit(None), cells.clamp(arrays.share(values, f"mode__{column}"))
+        )
     else:
         return no_suggestion()
     return F.when(F.size(values) > 0, found).otherwise(no_suggestion())
@@ -170,8 +171,7 @@ def recommend_from_neighbours(rows: DataFrame, spec: QualitySpec, near: str = "n
     if spec.respect_use_for_recommendation:
         asked = [c for c in asked if spec.rules[c].use_for_recommendation]
     wide = with_neighbour_values(rows, spec, near, asked)
-    for c in asked:
-        wide = wide.withColumn(f"s__{c}", neighbour_suggestion(spec, c))
+    wide = wide.withColumns({f"s__{c}": neighbour_suggestion(spec, c) for c in asked})
     flat = wide.select(
         F.col(spec.id_column).cast("string").alias("row_id"),
         *[f"s__{c}" for c in asked],

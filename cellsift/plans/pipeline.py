@@ -62,49 +62,59 @@ def run_detection(df: DataFrame, spec: QualitySpec, coerce: str = "before") -> D
         raise ValueError("coerce must be 'before' or 'after'")
     spec.require_columns(df.columns)
     table = coerce_types(df, spec) if coerce == "before" else df
-    held: list = []
+    judged, features, model = score_rows(table, spec)
+    clean = judged.filter("is_clean")
+    near, odd = _rows_with_neighbours(judged, clean, features, spec)
+    issues = rules.as_issues(_all_findings(judged, near, odd, spec)).persist(_DISK)
+    scores = judged.select(
+        F.col(spec.id_column).cast("string").alias("row_id"), "raw_score", "decision_score", "is_anomaly"
+    )
+    return DetectionRun(table, issues, scores, features, model, spec, [issues])
+
 
+def score_rows(
+    table: DataFrame, spec: QualitySpec
+) -> tuple[DataFrame, FittedFeatures, forest.IsolationForest]:
+    """Ruled columns with findings, clean flag, scores and anomaly label of every row.
+
+    Features and forest are fitted on the clean rows, or on all if none is clean.
+    """
+    held: list = []
     # Findings and the clean flag are row facts; only ruled columns are kept.
-    marked = coerce_types(rules.mark_clean(table.select(*spec.ruled_columns), spec), spec)
-    marked = _spread(marked.persist(_DISK), held)
+    columns = [c for c in spec.ruled_columns if c in table.columns]
+    marked = coerce_types(rules.mark_clean(table.select(*columns), spec), spec)
+    marked, total, clean_rows = _spread(marked.persist(_DISK), held)
+    if not clean_rows:
+        marked, clean_rows = marked.withColumn("is_clean", F.lit(True)), total
     clean = marked.filter("is_clean")
-    if clean.isEmpty():
-        marked = marked.withColumn("is_clean", F.lit(True))
-        clean = marked
 
-    features = fit_features(clean, spec)
-    model = forest.fit_forest(clean, features, spec)
+    features = fit_features(clean, spec, clean_rows)
+    model = forest.fit_forest(clean, features, spec, clean_rows)
     # Scores are dear: they are written, so no lost executor makes them anew.
     scored = cut_lineage(marked.withColumn("raw_score", model.raw_score(marked)), "scored")
     for df in held:
         df.unpersist()
-    held.clear()
-    clean = scored.filter("is_clean")
-    offset = forest.score_offset(clean.select("raw_score"), spec.contamination)
-    model = model.with_offset(offset)
-    judged = forest.with_decision(scored, offset)
-
-    near, odd = _rows_with_neighbours(judged, clean, features, spec)
-    issues = rules.as_issues(_all_findings(judged, near, odd, spec)).persist(_DISK)
-    held.append(issues)
-    scores = judged.select(
-        F.col(spec.id_column).cast("string").alias("row_id"), "raw_score", "decision_score", "is_anomaly"
+    offset = forest.score_offset(
+        scored.filter("is_clean").select("raw_score"), spec.contamination, rows=clean_rows
     )
-    return DetectionRun(table, issues, scores, features, model, spec, held)
+    return forest.with_decision(scored, offset), features, model.with_offset(offset)
 
 
 # Below this many rows a table may sit in fewer partitions than there are cores.
 SMALL_ROWS = 5_000_000
 
 
-def _spread(df: DataFrame, held: list) -> DataFrame:
-    """Spread a small table over all cores: scoring costs time, not bytes."""
-    held.append(df)
-    if df.count() >= SMALL_ROWS:
-        return df
-    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism).persist(_DISK)
-    held.append(spread)
-    return spread
+def _spread(marked: DataFrame, held: list) -> tuple[DataFrame, int, int]:
+    """Count all and clean rows, and spread a small table over all cores.
+
+    Scoring costs time, not bytes, so few bytes must not mean few tasks.
+    """
+    held.append(marked)
+    seen = marked.agg(F.count(F.lit(1)), F.count_if("is_clean")).first()
+    if seen[0] < SMALL_ROWS:
+        marked = marked.repartition(marked.sparkSession.sparkContext.defaultParallelism).persist(_DISK)
+        held.append(marked)
+    return marked, seen[0], seen[1]
 
 
 def _rows_with_neighbours(judged: DataFrame, clean: DataFrame, features: FittedFeatures, spec: QualitySpec):

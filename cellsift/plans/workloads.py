@@ -377,14 +377,8 @@ def attribution_reference(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def iforest_scores(spark: SparkSession, d: str) -> DataFrame:
-    dirty, spec = t.dirty_transactions(spark, d), t.transactions_spec()
-    clean = rules.clean_rows(dirty, spec)
-    fitted = features.fit_features(clean, spec)
-    model = forest.fit_forest(clean, fitted, spec)
-    offset = forest.score_offset(model.with_scores(clean), spec.contamination)
-    return model.with_offset(offset).with_scores(dirty).select(
-        "transaction_id", "raw_score", "decision_score", "is_anomaly"
-    )
+    judged, _, _ = pipeline.score_rows(t.dirty_transactions(spark, d), t.transactions_spec())
+    return judged.select("transaction_id", "raw_score", "decision_score", "is_anomaly")
 
 
 @query
