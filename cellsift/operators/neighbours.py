@@ -9,7 +9,7 @@ Distance is squared Euclidean over z-scores plus the category penalty of
 2. A small random sample of the points places cuts that divide the space into
    leaves of about ``LEAF_ROWS`` rows. The sample decides only where the cuts
    are. Every leaf then gets its true bounding box.
-3. A query looks into its nearest leaf, which yields an upper bound of its
+3. A query looks into the leaf it falls into, which yields an upper bound of its
    k-th distance, and then into just those leaves whose box is closer than the
    bound. All others are ruled out by the box, so the result is exact.
 4. Leaf and query rows meet in groups of bounded size: big leaves are split by
@@ -39,8 +39,10 @@ from cellsift.operators.features import FittedFeatures
 from cellsift.spec import SpecError
 
 LEAF_ROWS = 1024
-MAX_LEAVES = 16_384
-SAMPLE_PER_LEAF = 32
+MAX_LEAVES = 131_072
+SAMPLE_PER_LEAF = 16
+# Leaves that are ruled out together before they are looked at one by one.
+LEAF_RUN = 64
 # Largest sides of one group of the leaf join.
 MAX_GROUP_REFERENCE = 65_536
 MAX_GROUP_QUERIES = 8_192
@@ -131,23 +133,54 @@ class LeafBoxes:
     rows: np.ndarray
     numeric: int
 
-    def lower_bounds(self, points: np.ndarray) -> np.ndarray:
-        """Least squared distance from each point to any row of each leaf.
+    @property
+    def leaves(self) -> int:
+        return len(self.rows)
+
+    def _gaps(self, points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Least squared distance from each point to anything inside each box.
 
         A missing category code stands for a category unknown at fit time.
         """
-        out = np.zeros((len(points), len(self.rows)))
+        out = np.zeros((len(points), len(low)))
         for axis in range(points.shape[1]):
             x = points[:, axis, None]
             if axis < self.numeric:
-                gap = np.maximum(np.maximum(self.low[:, axis] - x, x - self.high[:, axis]), 0.0)
+                gap = np.maximum(np.maximum(low[:, axis] - x, x - high[:, axis]), 0.0)
                 out += gap * gap
             else:
-                outside = (x < self.low[:, axis]) | (x > self.high[:, axis])
+                outside = (x < low[:, axis]) | (x > high[:, axis])
                 out += np.where(np.isnan(x), 1.0, np.where(outside, 2.0, 0.0))
-        out[:, self.rows == 0] = np.inf
         return out
 
+    def close_leaves(self, points: np.ndarray, limit: np.ndarray) -> list[np.ndarray]:
+        """For each point the leaves that may hold a row within its squared distance.
+
+        Leaves next to each other in number are next to each other in space, so
+        runs of them are ruled out together by their common box.
+        """
+        starts = np.arange(0, self.leaves, LEAF_RUN)
+        run_low = np.minimum.reduceat(self.low, starts)
+        run_high = np.maximum.reduceat(self.high, starts)
+        reach = limit[:, None] + SLACK
+        in_reach = self._gaps(points, run_low, run_high) <= reach
+        found_points, found_leaves = [], []
+        for run, start in enumerate(starts):
+            some = np.flatnonzero(in_reach[:, run])
+            if not len(some):
+                continue
+            stop = min(self.leaves, start + LEAF_RUN)
+            near = self._gaps(points[some], self.low[start:stop], self.high[start:stop]) <= reach[some]
+            q, leaf = np.nonzero(near & (self.rows[start:stop] > 0))
+            found_points.append(some[q])
+            found_leaves.append((leaf + start).astype(np.int32))
+        if not found_points:
+            return [np.zeros(0, dtype=np.int32)] * len(points)
+        owner, leaves = np.concatenate(found_points), np.concatenate(found_leaves)
+        leaves = leaves[np.argsort(owner, kind="stable")]
+        ends = np.cumsum(np.bincount(owner, minlength=len(points)))
+        return np.split(leaves, ends[:-1])
+
 
 def _batches(total: int, width: int):
     step = max(1, MATRIX_CELLS // max(1, width))
@@ -257,7 +290,7 @@ class NeighbourIndex:
         numeric = len(self.features.z_names)
         if leaves == 1:
             return cut_space(np.zeros((0, 0)), numeric, 1)
-        # A fixed number of rows per leaf, at most 2**19 in all.
+        # A fixed number of rows per leaf, at most 2**21 short rows in all.
         fraction = min(1.0, leaves * SAMPLE_PER_LEAF / total)
         axes = [a.alias(f"a{i}") for i, a in enumerate(self._axes())]
         sample = distinct.select(*axes).sample(fraction, seed).toPandas()
@@ -356,7 +389,7 @@ class NeighbourIndex:
         if self._cuts.leaves == 1:
             hits = self._leaf_join(points.withColumn("_leaf", F.lit(0)), self._pairs_schema(), bound_only=False)
         else:
-            home = points.withColumn("_leaf", self._home_leaf())
+            home = points.withColumn("_leaf", self._leaf_of())
             bounds = self._leaf_join(home, self._bound_schema(), bound_only=True)
             wide = bounds.withColumn("_leaf", F.explode(self._close_leaves())).drop("_bound")
             hits = self._leaf_join(wide, self._pairs_schema(), bound_only=False)
@@ -370,30 +403,16 @@ class NeighbourIndex:
         )
         return F.sort_array(F.collect_list(entry)).alias(name)
 
-    def _home_leaf(self) -> Column:
-        boxes = self._boxes
-
-        @F.pandas_udf("int")
-        def nearest_leaf(*axes):
-            points = _matrix(axes)
-            home = np.zeros(len(points), dtype=np.int32)
-            for start, stop in _batches(len(points), len(boxes.rows)):
-                home[start:stop] = boxes.lower_bounds(points[start:stop]).argmin(axis=1)
-            return pd.Series(home)
-
-        return nearest_leaf(*self._axes())
-
     def _close_leaves(self) -> Column:
         boxes = self._boxes
+        runs = math.ceil(boxes.leaves / LEAF_RUN)
 
         @F.pandas_udf("array<int>")
         def close_leaves(bound, *axes):
             points, limit = _matrix(axes), bound.to_numpy(dtype=float)
             out = []
-            for start, stop in _batches(len(points), len(boxes.rows)):
-                near = boxes.lower_bounds(points[start:stop]) <= limit[start:stop, None] + SLACK
-                near &= boxes.rows > 0
-                out.extend(np.flatnonzero(row).astype(np.int32) for row in near)
+            for start, stop in _batches(len(points), runs):
+                out.extend(boxes.close_leaves(points[start:stop], limit[start:stop]))
             return pd.Series(out)
 
         return close_leaves(F.col("_bound"), *self._axes())

@@ -32,27 +32,29 @@ def issue_summary(issues: DataFrame) -> DataFrame:
         F.count("confidence").alias("rated"),
         F.sum(F.col("can_auto_fix").cast("int")).alias("fixable"),
     )
-    totals = cube.groupingSets(
-        [["issue_type"], ["severity"], []], "issue_type", "severity"
-    ).agg(
-        F.grouping_id().alias("g"),
+    sides = cube.groupingSets([["issue_type"], ["severity"]], "issue_type", "severity").agg(
+        F.grouping("issue_type").alias("by_severity"), F.sum("n").cast("double").alias("value")
+    )
+    counted = sides.select(
+        (F.col("by_severity") + 1).cast("int").alias("block"),
+        F.when(F.col("by_severity") == 1, F.concat(F.lit("severity_"), "severity"))
+        .otherwise(F.concat(F.lit("issue_type_"), "issue_type")).alias("metric"),
+        "value",
+    )
+    # A total without groups has a row even if there is no issue.
+    whole = cube.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("n"),
         F.round(F.try_divide(F.sum("confidence"), F.sum("rated")), 4).alias("confidence"),
         F.round(F.try_divide(F.sum("fixable"), F.sum("n")), 4).alias("fixable"),
     )
-    entry = lambda order, name, value: F.struct(
-        F.lit(order).alias("block"), name.alias("metric"), value.alias("value")
-    )
-    grand = F.array(
-        entry(0, F.lit("total_issues"), F.col("n")),
-        entry(3, F.lit("average_confidence"), F.col("confidence")),
-        entry(4, F.lit("fixable_rate"), F.col("fixable")),
+    grand = whole.select(
+        F.expr(
+            "stack(3, 0, 'total_issues', n, 3, 'average_confidence', confidence, 4, 'fixable_rate', fixable)"
+            " AS (block, metric, value)"
+        )
     )
-    by_type = F.array(entry(1, F.concat(F.lit("issue_type_"), F.col("issue_type")), F.col("n")))
-    by_severity = F.array(entry(2, F.concat(F.lit("severity_"), F.col("severity")), F.col("n")))
-    rows = F.when(F.col("g") == 3, grand).when(F.col("g") == 1, by_type).otherwise(by_severity)
     return (
-        totals.select(F.inline(rows))
+        grand.unionByName(counted)
         .filter("value IS NOT NULL AND metric IS NOT NULL")
         .orderBy("block", F.desc("value"), "metric")
         .select("metric", "value")

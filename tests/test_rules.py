@@ -1,7 +1,6 @@
 """Rule specification, checks and the clean set."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from cellsift import ColumnRule, CrossFieldRule, QualitySpec, SpecError, bank_spec, load_spec
 from cellsift.operators import rules
@@ -163,18 +162,3 @@ def test_rules_from_a_table(spark):
     )
     spec = spec_from_rules_table(rows, "t", "id", knn_neighbors=2)
     assert spec.rules["n"].min_value == 2.0 and not spec.rules["n"].required and spec.knn_neighbors == 2
-
-
-def test_findings_stream(spark, sf, tmp_path):
-    """The rule checks run unchanged on a stream of files."""
-    df, spec = tables.dirty_transactions(spark, sf), tables.transactions_spec()
-    folder = str(tmp_path / "in")
-    df.write.parquet(folder)
-    stream = rules.rule_issues(spark.readStream.schema(df.schema).parquet(folder), spec)
-    q = (
-        stream.drop("created_at").writeStream.format("memory").queryName("stream_issues")
-        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    )
-    q.awaitTermination(120)
-    assert spark.table("stream_issues").count() == rules.rule_issues(df, spec).count()
-    assert F is not None
