@@ -275,9 +275,20 @@ def rule_issues(df: DataFrame, spec: QualitySpec, kinds=ALL_KINDS) -> DataFrame:
     return as_issues(explode_findings(with_findings(df, spec, kinds), spec))
 
 
+def _spoiled_ids(rows: DataFrame, spec: QualitySpec) -> DataFrame:
+    """Distinct ids of rows with a finding; equal ids collapse before the shuffle."""
+    key = F.col(spec.id_column).cast("string")
+    return rows.filter(F.col("findings").isNotNull()).select(key.alias("_spoiled")).distinct()
+
+
 def clean_rows(df: DataFrame, spec: QualitySpec) -> DataFrame:
     """Rows whose id has no finding; every row if there is no such row."""
-    clean = mark_clean(df, spec).filter("is_clean").drop("is_clean", "findings")
+    rows = with_findings(df, spec)
+    # Rows that break a rule themselves need no look at the other rows.
+    clean = rows.filter(F.col("findings").isNull()).drop("findings")
+    if not spec.id_is_unique:
+        key = F.col(spec.id_column).cast("string")
+        clean = clean.join(_spoiled_ids(rows, spec), key.eqNullSafe(F.col("_spoiled")), "left_anti")
     return df if clean.isEmpty() else clean
 
 
@@ -290,13 +301,15 @@ def mark_clean(df: DataFrame, spec: QualitySpec) -> DataFrame:
     rows = with_findings(df, spec)
     if spec.id_is_unique:
         return rows.withColumn("is_clean", F.col("findings").isNull())
-    spoiled = (
-        explode_findings(rows, spec).select(F.col("row_id").alias("_spoiled")).distinct()
-        .withColumn("_hit", F.lit(True))
-    )
+    spoiled = _spoiled_ids(rows, spec).withColumn("_hit", F.lit(True))
     key = F.col(spec.id_column).cast("string")
     return (
         rows.join(spoiled, key.eqNullSafe(F.col("_spoiled")), "left")
         .withColumn("is_clean", F.col("_hit").isNull())
         .drop("_spoiled", "_hit")
     )
+
+
+def in_issue_order(issues: DataFrame) -> DataFrame:
+    """Missing, invalid, cross-field, anomaly; inside, rule order, then row id."""
+    return issues.orderBy("issue_seq", "row_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -52,11 +53,18 @@ class DetectionRun:
         self._held.clear()
 
 
-def run_detection(df: DataFrame, spec: QualitySpec, coerce: str = "before") -> DetectionRun:
+# Takes findings with suggestions and returns them with its own in place.
+Recommender = Callable[[DataFrame, QualitySpec], DataFrame]
+
+
+def run_detection(
+    df: DataFrame, spec: QualitySpec, coerce: str = "before", recommenders: Sequence[Recommender] = ()
+) -> DetectionRun:
     """Find every issue of a table and suggest a repair for each.
 
     ``coerce='before'`` turns unreadable numbers and dates into gaps before the
-    rules look; ``'after'`` lets the rules see the raw text.
+    rules look; ``'after'`` lets the rules see the raw text. ``recommenders``
+    run after the built-in ones and may replace their suggestions.
     """
     if coerce not in ("before", "after"):
         raise ValueError("coerce must be 'before' or 'after'")
@@ -65,7 +73,10 @@ def run_detection(df: DataFrame, spec: QualitySpec, coerce: str = "before") -> D
     judged, features, model = score_rows(table, spec)
     clean = judged.filter("is_clean")
     near, odd = _rows_with_neighbours(judged, clean, features, spec)
-    issues = rules.as_issues(_all_findings(judged, near, odd, spec)).persist(_DISK)
+    findings = _all_findings(judged, near, odd, spec)
+    for recommender in recommenders:
+        findings = recommender(findings, spec)
+    issues = rules.as_issues(findings).persist(_DISK)
     scores = judged.select(
         F.col(spec.id_column).cast("string").alias("row_id"), "raw_score", "decision_score", "is_anomaly"
     )

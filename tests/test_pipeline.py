@@ -173,6 +173,34 @@ def test_all_rows_flagged_still_runs(spark):
     result.close()
 
 
+def test_raw_text_and_own_recommender(spark, sf):
+    """Rules see the raw text; an own recommender fills what the built-in ones left open."""
+    spec = tables.transactions_spec().with_options(n_estimators=10, id_is_unique=True)
+    raw = tables.dirty_transactions(spark, sf).withColumns(
+        {
+            "date": F.col("date").cast("date").cast("string"),
+            "value": F.when(F.col("transaction_id") == "T00000007", "n/k").otherwise(F.col("value").cast("string")),
+        }
+    )
+
+    def zero_for_text(findings, _):
+        unread = F.col("reason").endswith("must be numeric.")
+        return findings.withColumns(
+            {
+                "suggested_value": F.when(unread, "0").otherwise(F.col("suggested_value")),
+                "suggested_num": F.when(unread, 0.0).otherwise(F.col("suggested_num")),
+            }
+        )
+
+    result = pipeline.run_detection(raw, spec, coerce="after", recommenders=[zero_for_text])
+    rows = result.issues.filter("row_id = 'T00000007' AND column_name = 'value' AND issue_type = 'invalid'").collect()
+    assert [(r["current_value"], r["suggested_value"]) for r in rows] == [("n/k", "0")]
+    assert result.fixed("auto").filter("transaction_id = 'T00000007'").first()["value"] == "0"
+    stages = [r["issue_seq"] for r in rules.in_issue_order(result.issues).collect()]
+    assert stages == sorted(stages)
+    result.close()
+
+
 def test_run_is_written(spark, run, tmp_path):
     places = pipeline.write_run(run, FileSink(str(tmp_path), "csv"), fix_mode="conservative")
     assert set(places) == {"detected_issues", "recommendations", "final_report", "dataset_profile", "fixed_data"}
