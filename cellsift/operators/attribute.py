@@ -64,7 +64,8 @@ def suspicious_columns(df: DataFrame, spec: QualitySpec, near: str = "neighbours
 
 
 def suspicious_columns_left_out(
-    df: DataFrame, reference: DataFrame, features: FittedFeatures, spec: QualitySpec
+    df: DataFrame, reference: DataFrame, features: FittedFeatures, spec: QualitySpec,
+    kept: list[str] | None = None,
 ) -> DataFrame:
     """Like ``suspicious_columns``, but a column is judged by neighbours found without it.
 
@@ -80,10 +81,11 @@ def suspicious_columns_left_out(
             flags.append(F.when(F.col(c).isNull(), F.lit(c)))
             continue
         index = NeighbourIndex(reference, rest, spec.id_column, [c], spec.knn_neighbors, seed=spec.random_state)
-        kept = out.columns
+        before = out.columns
         near = index.k_nearest(out, exclude_self=spec.id_column, name="_near")
         wide = with_neighbour_values(near, spec, "_near", [c])
-        out = cut_lineage(wide.withColumn(f"_odd__{c}", is_suspicious(wide, spec, c)).select(*kept, f"_odd__{c}"), "left_out")
+        judged = wide.withColumn(f"_odd__{c}", is_suspicious(wide, spec, c))
+        out = cut_lineage(judged.select(*before, f"_odd__{c}"), "left_out", kept)
         index.close()
         flags.append(F.when(F.col(f"_odd__{c}"), F.lit(c)))
     return out.withColumn("suspects", F.array_compact(F.array(*flags))).select(*df.columns, "suspects")

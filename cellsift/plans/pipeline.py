@@ -14,7 +14,7 @@ from cellsift.operators.features import FittedFeatures, fit_features
 from cellsift.operators.neighbours import NeighbourIndex
 from cellsift.operators.normalize import coerce_types
 from cellsift.plans import report
-from cellsift.sources.scratch import cut_lineage
+from cellsift.sources.scratch import cut_lineage, drop_written
 from cellsift.spec import QualitySpec
 
 _DISK = StorageLevel.MEMORY_AND_DISK
@@ -30,7 +30,8 @@ class DetectionRun:
     features: FittedFeatures
     model: forest.IsolationForest
     spec: QualitySpec
-    _held: list = field(default_factory=list)
+    _held: list[DataFrame] = field(default_factory=list)
+    _kept: list[str] = field(default_factory=list)
 
     def summary(self) -> DataFrame:
         return report.issue_summary(self.issues)
@@ -48,9 +49,11 @@ class DetectionRun:
         return self.issues.select(*rules.ISSUE_COLUMNS)
 
     def close(self) -> None:
+        """Free caches and delete the stages of this run."""
         for df in self._held:
             df.unpersist()
         self._held.clear()
+        drop_written(self.table.sparkSession, self._kept)
 
 
 # Takes findings with suggestions and returns them with its own in place.
@@ -70,9 +73,10 @@ def run_detection(
         raise ValueError("coerce must be 'before' or 'after'")
     spec.require_columns(df.columns)
     table = coerce_types(df, spec) if coerce == "before" else df
-    judged, features, model = score_rows(table, spec)
+    kept: list[str] = []
+    judged, features, model = score_rows(table, spec, kept)
     clean = judged.filter("is_clean")
-    near, odd = _rows_with_neighbours(judged, clean, features, spec)
+    near, odd = _rows_with_neighbours(judged, clean, features, spec, kept)
     findings = _all_findings(judged, near, odd, spec)
     for recommender in recommenders:
         findings = recommender(findings, spec)
@@ -80,11 +84,11 @@ def run_detection(
     scores = judged.select(
         F.col(spec.id_column).cast("string").alias("row_id"), "raw_score", "decision_score", "is_anomaly"
     )
-    return DetectionRun(table, issues, scores, features, model, spec, [issues])
+    return DetectionRun(table, issues, scores, features, model, spec, [issues], kept)
 
 
 def score_rows(
-    table: DataFrame, spec: QualitySpec
+    table: DataFrame, spec: QualitySpec, kept: list[str] | None = None
 ) -> tuple[DataFrame, FittedFeatures, forest.IsolationForest]:
     """Ruled columns with findings, clean flag, scores and anomaly label of every row.
 
@@ -102,7 +106,7 @@ def score_rows(
     features = fit_features(clean, spec, clean_rows)
     model = forest.fit_forest(clean, features, spec, clean_rows)
     # Scores are dear: they are written, so no lost executor makes them anew.
-    scored = cut_lineage(marked.withColumn("raw_score", model.raw_score(marked)), "scored")
+    scored = cut_lineage(marked.withColumn("raw_score", model.raw_score(marked)), "scored", kept)
     for df in held:
         df.unpersist()
     offset = forest.score_offset(
@@ -128,7 +132,9 @@ def _spread(marked: DataFrame, held: list) -> tuple[DataFrame, int, int]:
     return marked, seen[0], seen[1]
 
 
-def _rows_with_neighbours(judged: DataFrame, clean: DataFrame, features: FittedFeatures, spec: QualitySpec):
+def _rows_with_neighbours(
+    judged: DataFrame, clean: DataFrame, features: FittedFeatures, spec: QualitySpec, kept: list[str]
+) -> tuple[DataFrame, DataFrame]:
     """Rows that need neighbours: anomalies, and rows with a missing cell."""
     has_gap = F.exists("findings", lambda f: f["issue_type"] == "missing")
     wanted = judged.filter((F.col("is_anomaly") == 1) | F.coalesce(has_gap, F.lit(False)))
@@ -137,11 +143,11 @@ def _rows_with_neighbours(judged: DataFrame, clean: DataFrame, features: FittedF
         clean, features, spec.id_column, columns, spec.knn_neighbors, seed=spec.random_state
     )
     own = None if spec.neighbours == "reference" else spec.id_column
-    near = cut_lineage(index.k_nearest(wanted, exclude_self=own), "neighbours")
+    near = cut_lineage(index.k_nearest(wanted, exclude_self=own), "neighbours", kept)
     index.close()
     anomalous = near.filter("is_anomaly = 1")
     if spec.neighbours == "leave_one_feature_out":
-        return near, attribute.suspicious_columns_left_out(anomalous, clean, features, spec)
+        return near, attribute.suspicious_columns_left_out(anomalous, clean, features, spec, kept)
     return near, attribute.suspicious_columns(anomalous, spec)
 
 

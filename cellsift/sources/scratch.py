@@ -29,11 +29,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "stage", kept: list[str] | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Later steps start from the written rows, also after executors were lost.
+    ``kept`` collects the path, for ``drop_written`` once the table is done with.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if kept is not None:
+        kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``cut_lineage`` wrote below the scratch folder."""
+    root = checkpoint_folder(spark)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        if path.startswith(root):
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+    paths.clear()

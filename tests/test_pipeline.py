@@ -1,5 +1,7 @@
 """Forest, reports, evaluation, sources and the whole job."""
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -170,7 +172,10 @@ def test_all_rows_flagged_still_runs(spark):
     df = spark.createDataFrame(rows, "transaction_id string, date string, domain string, location string, value double, transaction_count double, avg_transaction_value double")
     result = pipeline.run_detection(df, spec)
     assert metrics(result.summary())["issue_type_invalid"] == 90
+    stages = list(result._kept)
+    assert stages and all(os.path.exists(p.removeprefix("file:")) for p in stages)
     result.close()
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in stages)
 
 
 def test_raw_text_and_own_recommender(spark, sf):
