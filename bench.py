@@ -45,6 +45,10 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        # The tables are a few megabytes: keep all cores busy all the same.
+        .config("spark.sql.files.maxPartitionBytes", "2m")
+        .config("spark.sql.files.openCostInBytes", "64k")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
