@@ -8,6 +8,7 @@ from cellsift import ColumnRule, QualitySpec, SpecError
 from cellsift.operators import neighbours
 from cellsift.operators.features import FittedFeatures, NumericStats, fit_features
 from cellsift.operators.neighbours import NeighbourIndex, cut_space
+from cellsift.sources.scratch import cut_lineage
 
 FEATURES = FittedFeatures({"a": NumericStats(0.0, 0.0, 1.0), "b": NumericStats(0.0, 0.0, 1.0)}, {"g": "x"})
 
@@ -105,6 +106,13 @@ def test_shared_ids_lose_only_one_entry(spark):
     assert [[n["key"] for n in r["neighbours"]] for r in got] == [["a", "b"], ["a", "b"]]
 
 
+def test_no_queries_give_no_rows(spark):
+    ref = spark.createDataFrame(random_rows(11, 200, "r"), SCHEMA)
+    index = NeighbourIndex(ref, FEATURES, "id", ["a"], 5, leaf_rows=40)
+    written = cut_lineage(index.k_nearest(ref.filter("a > 1e9")))
+    assert written.isEmpty() and "neighbours" in written.columns
+
+
 def test_no_features_is_an_error(spark):
     ref = spark.createDataFrame(random_rows(9, 3, "r"), SCHEMA)
     with pytest.raises(SpecError):
