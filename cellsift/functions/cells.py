@@ -22,7 +22,7 @@ SEVERITY_BANDS = ((1.0, "critical"), (0.5, "high"), (0.2, "medium"))
 _BLANK = r"\s\x1c-\x1f"
 _NON_BLANK_CHAR = rf"(?U)[^{_BLANK}]"
 _EDGE_BLANKS = rf"(?U)^[{_BLANK}]+|[{_BLANK}]+$"
-_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)\s*$"
 
 TEXT_TYPES = (T.StringType, T.CharType, T.VarcharType)
 FLOAT_TYPES = (T.DoubleType, T.FloatType)
@@ -53,12 +53,17 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def finite(c: Column) -> Column:
+    """Null for NaN and infinity: one such cell would spoil every mean."""
+    return F.when(F.abs(c) < float("inf"), c)
+
+
 def to_number(c: Column, dtype: T.DataType) -> Column:
-    """Double of a cell, null where the cell is no number. NaN counts as null."""
+    """Double of a cell, null where the cell is no finite number. NaN counts as null."""
     if is_text(dtype):
-        return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+        return finite(F.when(c.rlike(_NUMBER), c.try_cast("double")))
     if isinstance(dtype, FLOAT_TYPES):
-        return nan_to_null(c.cast("double"))
+        return finite(c.cast("double"))
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return c.cast("double")
     return F.lit(None).cast("double")

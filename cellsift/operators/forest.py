@@ -217,9 +217,11 @@ def draw_samples(
     total = rows.count() if total is None else total
     size = min(size, total)
     need = POOL_FACTOR * trees * size
-    if total > need:
-        rows = rows.sample(need / total, seed)
     names = features.names
+    if total > need:
+        # By the row alone, so that the model does not depend on how rows are laid out.
+        place = F.xxhash64(F.lit(seed), F.lit("pool"), "_id", *names) / float(1 << 64) + 0.5
+        rows = rows.filter(place < need / total)
     tasks = min(trees, clean.sparkSession.sparkContext.defaultParallelism)
     # Equal rows are told apart by a copy number, so that one of them does not
     # bring all the others along. The pool is small, but hashing it takes long,

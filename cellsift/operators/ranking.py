@@ -60,8 +60,19 @@ def hash_thresholds(
     the wanted ranks. Rows are counted by a prefix of the hash; only prefixes
     that a wanted rank falls into are counted again by a longer one. A rank of
     0 gives None. Rows with equal hashes stay together: a group that crosses
-    the rank is left out.
+    the rank is left out. ``hash_cuts`` tells how many of it are still wanted.
     """
+    return [m.bound for m in hash_cuts(df, order, ranks_of)]
+
+
+def row_order(seed: int | str, key: Column, columns: Sequence[str]) -> Column:
+    """``hash_order`` of the key, then a hash of the whole row: only equal rows are equal in it."""
+    row = F.to_json(F.struct(*[F.col(c) for c in columns]))
+    return F.concat(hash_order(seed, key), F.md5(row))
+
+
+def hash_cuts(df: DataFrame, order: Column, ranks_of: Callable[[int], Sequence[int]]) -> list[_Mark]:
+    """For each rank its ``bound``, and ``left`` more rows wanted of those whose hash is ``prefix``."""
     hashes = df.select(order.alias("h"))
     marks: list[_Mark] = []
     done = 0
@@ -78,11 +89,11 @@ def hash_thresholds(
             if mark.open:
                 mark.advance(groups)
         done = length
-    return [m.bound for m in marks]
+    return marks
 
 
-# Prefix lengths of an md5 text that ranks are narrowed by.
-HASH_PREFIXES = (3, 6, 12, 32)
+# Prefix lengths of one or two md5 texts that ranks are narrowed by.
+HASH_PREFIXES = (3, 6, 12, 32, 64)
 
 
 class _Mark:
@@ -101,7 +112,7 @@ class _Mark:
                 return
             self.left -= g["count"]
             # "g" sorts after every hexadecimal digit.
-            self.bound = g["p"].ljust(32, "g")
+            self.bound = g["p"].ljust(64, "g")
             if not self.left:
                 break
         self.open = False

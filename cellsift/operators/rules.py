@@ -102,6 +102,8 @@ def _invalid_conditions(df: DataFrame, spec: QualitySpec, name: str):
         number = cells.to_number(c, dtype)
         if cells.is_text(dtype):
             yield c.isNotNull() & number.isNull(), f"Column '{name}' must be numeric."
+        elif isinstance(dtype, cells.FLOAT_TYPES):
+            yield F.abs(c) == float("inf"), f"Column '{name}' must be numeric."
         if rule.min_value is not None:
             yield number < F.lit(float(rule.min_value)), f"Value is smaller than minimum allowed: {rule.min_value}."
         if rule.max_value is not None:

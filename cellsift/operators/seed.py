@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellsift.functions import cells
-from cellsift.operators.ranking import hash_order, hash_thresholds
+from cellsift.operators.ranking import hash_cuts, hash_order, hash_thresholds, row_order
 from cellsift.spec import QualitySpec
 
 # Columns that lose their value, invalid values, outlier factors.
@@ -35,10 +35,18 @@ class FaultPlan:
 
 
 def sample_exact(df: DataFrame, id_column: str, n: int, seed: int = 42) -> DataFrame:
-    """min(n, rows) rows without replacement, the first in hash order."""
-    order = hash_order(seed, F.col(id_column))
-    (bound,) = hash_thresholds(df, order, lambda rows: [min(n, rows)])
-    return df.filter(order <= bound) if bound is not None else df.limit(0)
+    """min(n, rows) rows without replacement, the first in hash order.
+
+    Rows that share an id are told apart by the whole row. Of equal rows as many
+    are taken as are still wanted.
+    """
+    order = row_order(seed, F.col(id_column), df.columns)
+    (cut,) = hash_cuts(df, order, lambda rows: [min(n, rows)])
+    found = df.filter(order <= cut.bound) if cut.bound is not None else df.limit(0)
+    if not cut.left:
+        return found
+    equal = df.filter(order == cut.prefix).limit(1)
+    return found.union(equal.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(cut.left)))).drop("_n"))
 
 
 def part_sizes(n: int, parts: int = 3) -> list[int]:
@@ -85,7 +93,7 @@ def _options(df: DataFrame, plan: FaultPlan) -> list[tuple[int, str, int, int, s
 def _mark_faults(df: DataFrame, id_column: str, rate: float, seed: int, plan: FaultPlan) -> DataFrame:
     """Add ``_fault``: the number of the fault that a row gets, or null."""
     key = F.col(id_column)
-    order = hash_order(seed, key)
+    order = row_order(seed, key, df.columns)
 
     def ranks(rows: int) -> list[int]:
         a, b, c = part_sizes(math.floor(rows * rate))

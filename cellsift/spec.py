@@ -96,7 +96,7 @@ class QualitySpec:
     severity_scale: str = "legacy"
     skip_derived_findings: bool = False
     respect_use_for_recommendation: bool = False
-    similarity: str = "gestalt"
+    similarity: str = "levenshtein"
 
     def __post_init__(self):
         if self.neighbours not in NEIGHBOUR_MODES:
@@ -151,7 +151,10 @@ class QualitySpec:
 
 def _known(cls, raw: Mapping[str, Any]) -> dict[str, Any]:
     names = {f.name for f in fields(cls)}
-    return {k: v for k, v in raw.items() if k in names}
+    unknown = sorted(k for k in raw if k not in names)
+    if unknown:
+        raise SpecError(f"unknown settings for {cls.__name__}: {unknown}")
+    return dict(raw)
 
 
 def spec_from_dict(raw: Mapping[str, Any]) -> QualitySpec:
@@ -198,7 +201,8 @@ def spec_from_rules_table(rows, table_name: str, id_column: str, **settings) ->
     rules = {}
     for row in rows.collect():
         body = {k: v for k, v in row.asDict(recursive=True).items() if v is not None}
-        rules[body.pop("column_name")] = ColumnRule(**_known(ColumnRule, body))
+        name = body.pop("column_name")
+        rules[name] = ColumnRule(**_known(ColumnRule, body))
     return QualitySpec(table_name=table_name, id_column=id_column, rules=rules, **settings)
 
 
