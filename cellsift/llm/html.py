@@ -16,6 +16,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellsift.sources.scratch import cut_lineage
 
@@ -190,7 +191,7 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _extract(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for html, paths in columns:
         yield pa.array([extract(h, p) for h, p in zip(html.to_pylist(), paths.to_pylist())], pa.string())

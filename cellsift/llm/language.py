@@ -118,7 +118,9 @@ class Profiles(NamedTuple):
         at = np.minimum(np.searchsorted(self.grams, value), len(self.grams) - 1)
         known = self.grams[at] == value
         place = np.arange(len(value))[known, None]
-        apart = np.abs(self.ranks[at[known]] - place).sum(axis=0) + self.size * (~known).sum()
+        rank = self.ranks[at[known]]
+        # An n-gram that a profile lacks is as far out of place as can be.
+        apart = np.where(rank == self.size, self.size, np.abs(rank - place)).sum(axis=0) + self.size * (~known).sum()
         best = int(apart.argmin())
         return self.langs[best], float(1 - apart[best] / (self.size * len(value)))
 

@@ -177,4 +177,6 @@ def remix(docs: DataFrame, kept: list[str], **options) -> DataFrame:
     """``docs`` with each row as often as planned; columns are unchanged."""
     small = numbered(docs.select("doc_id", "source", "text")).select("_src", "_tokens", "_h")
     plans = plan(cut_lineage(small, "numbered", kept), kept, **options)
-    return repeated(numbered(docs), plans).select(*docs.columns)
+    # All columns travel in one, so that no name can clash.
+    packed = docs.select(F.struct("*").alias("_doc"), "doc_id", "source", "text")
+    return repeated(numbered(packed), plans).select("_doc.*")

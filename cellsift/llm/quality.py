@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellsift.llm.rules import labelled, text_statistics
 from cellsift.llm.words import _SPACE, slices, text_buffer
@@ -180,7 +181,7 @@ def _columns(docs: DataFrame, text: str = "text") -> list[F.Column]:
     return [F.col(text).cast("string"), *meta]
 
 
-@F.arrow_udf("struct<text:array<double>,meta:array<double>>")
+@F.arrow_udf(T.StructType([T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("text", "meta")]))
 def _features(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
     for text, *meta in columns:
         parts = [text_features(text.slice(b, e - b)) for b, e in slices(text)]

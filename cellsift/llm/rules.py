@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellsift.llm.words import _SPACE, Words, find_words, mix, slices, text_buffer, windows
 
@@ -84,7 +85,7 @@ def text_statistics(column: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-@F.arrow_udf("struct<" + ",".join(f"{n}:long" for n in BASE) + ">")
+@F.arrow_udf(T.StructType([T.StructField(n, T.LongType()) for n in BASE]))
 def _statistics(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for column in columns:
         parts = []
