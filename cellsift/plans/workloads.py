@@ -331,7 +331,7 @@ def fuzzy_suggest_levenshtein(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def fuzzy_suggest_gestalt(spark: SparkSession, d: str) -> DataFrame:
-    return _invalid_suggestions(t.typo_parts(spark, d), t.parts_spec()).select(
+    return _invalid_suggestions(t.typo_parts(spark, d), t.parts_spec().with_options(similarity="gestalt")).select(
         "row_id", "current_value", "suggested_value", "confidence"
     )
 
