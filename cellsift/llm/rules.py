@@ -216,7 +216,8 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     if total > rows:
         one = one.where(F.xxhash64("_id") / float(1 << 64) + 0.5 < rows / total)
     clash = [c for c in docs.columns if c.lower() in ("quality", "_id")]
-    return docs.drop(*clash).join(one, F.col("doc_id").cast("long") == F.col("_id"))
+    # At most about ``rows`` ids and labels, so no text is shuffled for the sample.
+    return docs.drop(*clash).join(F.broadcast(one), F.col("doc_id").cast("long") == F.col("_id"))
 
 
 def learn_rules(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> list[Rule]:
