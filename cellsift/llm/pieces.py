@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from cellsift.llm.words import mix, slices, span_hashes
 
-SLICE_BYTES = 4 << 20
+#: Bytes of text whose symbols lie in arrays at once; a task holds some 100 bytes for each.
+SLICE_BYTES = 1 << 20
 
 _SPACE = 0x2581  # stands for a space inside pieces
 _NEVER = np.iinfo(np.int32).max
