@@ -2,6 +2,90 @@
 
 from __future__ import annotations
 
+from cellsift.llm import embeddings, mixing, sharding
+
+#: Sixty bits of a hash of id and text, as both operators on hash prefixes use them.
+_PLACE = "CAST('0x' || left(md5({prefix}coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 15) AS BIGINT)"
+
+EMBEDDINGS = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+    WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= {embeddings.COSINE}),
+reach(id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
+roots AS (SELECT id, min(other) AS root FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, r.root AS component_id, e.vec_id = r.root AS kept
+FROM embeddings e JOIN roots r ON r.id = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
+#: The least depth at which a row's bucket fits; ids are unique, so no row needs a further part.
+SHARDS = f"""
+WITH rows AS (
+    SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, {_PLACE.format(prefix="")} AS h FROM documents),
+levels AS (
+    SELECT r.*, CAST(d AS INTEGER) AS depth, h >> CAST({sharding.HASH_BITS} - d AS BIGINT) AS bucket
+    FROM rows r, range({sharding.HASH_BITS} + 1) t(d)),
+sums AS (
+    SELECT depth, bucket, sum(n_bytes) AS b, count(*) AS n FROM levels GROUP BY depth, bucket
+    HAVING sum(n_bytes) <= {sharding.SHARD_BYTES} OR min(h) = max(h)),
+fits AS (
+    SELECT l.*, CAST(b AS BIGINT) AS shard_bytes, n AS shard_docs FROM levels l JOIN sums USING (depth, bucket)
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(bucket), depth, '0') END AS shard, depth,
+    CAST(0 AS BIGINT) AS part, shard_bytes, shard_docs
+FROM fits
+"""
+
+MIXING = f"""
+WITH rows AS (
+    SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS src,
+        CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens,
+        {_PLACE.format(prefix=f"'{mixing.SEED}:' || ")} AS h
+    FROM documents),
+sources AS (SELECT src, CAST(sum(n_tokens) AS DOUBLE) AS t, count(*) AS n FROM rows GROUP BY src),
+total AS (
+    SELECT sum(t) AS s, max(t) AS most, min(t) AS least, CAST(count(*) AS DOUBLE) AS k, entropy FROM sources,
+        (SELECT -sum(t / s * ln(t / s)) AS entropy FROM sources, (SELECT sum(t) AS s FROM sources) WHERE t > 0)
+    WHERE t > 0 GROUP BY entropy),
+grid AS (
+    SELECT m / {1 << mixing.GRID_BITS}.0::DOUBLE AS a, sum(pow(t / most, m / {1 << mixing.GRID_BITS}.0::DOUBLE)) AS z,
+        sum(pow(t / most, m / {1 << mixing.GRID_BITS}.0::DOUBLE) * ln(pow(t / most, m / {1 << mixing.GRID_BITS}.0::DOUBLE))) AS xl
+    FROM sources, total, range({(1 << mixing.GRID_BITS) + 1}) g(m) WHERE t > 0 GROUP BY m),
+chosen AS (
+    SELECT coalesce(min(a), 1.0) AS a FROM grid, total
+    WHERE ln(z) - xl / z <= entropy + 0.5 * (ln(k) - entropy) + 1e-12
+      AND pow(most / least, 1 - a) * (s / most / z) <= 4.0 + 1e-9),
+weights AS (
+    SELECT src, t, n, CASE WHEN t > 0 THEN pow(t, a) / sum(CASE WHEN t > 0 THEN pow(t, a) END) OVER () ELSE 0 END AS weight
+    FROM sources, chosen),
+quotas AS (SELECT w.*, round(weight * s) AS quota FROM weights w, total),
+plans AS (
+    SELECT src, weight, CASE WHEN t > 0 THEN floor(quota / t) ELSE 1 END AS passes,
+        CASE WHEN t > 0 THEN quota - floor(quota / t) * t ELSE 0 END AS rest,
+        CAST(greatest(0, ceil(log2(n / {mixing.BLOCK_ROWS}.0))) AS BIGINT) AS bits
+    FROM quotas),
+running AS (
+    SELECT *, sum(n_tokens) OVER (PARTITION BY src ORDER BY h RANGE UNBOUNDED PRECEDING) AS upto FROM rows),
+cuts AS (SELECT src, min(h) AS cut FROM running JOIN plans USING (src) WHERE upto > rest GROUP BY src),
+copies AS (
+    SELECT r.*, weight, h >> ({mixing.HASH_BITS} - bits) AS block,
+        unnest(range(CAST(passes + CASE WHEN h < cut THEN 1 ELSE 0 END AS BIGINT))) AS epoch
+    FROM rows r JOIN plans USING (src) LEFT JOIN cuts USING (src))
+SELECT doc_id, source, n_tokens, CAST(epoch AS INTEGER) AS epoch, block, round(weight, 9) AS weight,
+    lpad(CAST(epoch AS VARCHAR), 6, '0') || '-'
+        || left(md5(concat_ws(':', '{mixing.SEED}', CAST(epoch AS VARCHAR), src, CAST(block AS VARCHAR))), 16) AS order_key
+FROM copies
+"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    """Learned, voted and iterated operators are no SQL; nor are spans scored by their context."""
+    return {"op2_embedding_near_dedup": EMBEDDINGS, "op3_sharding": SHARDS, "op8_mixing": MIXING}
