@@ -445,13 +445,14 @@ class NeighbourIndex:
         splits = F.broadcast(self.spark.createDataFrame(plan, "_leaf int, _subs int, _chunks int"))
         left = (
             self.rows.join(splits, "_leaf")
-            .withColumn("_sub", F.pmod(F.xxhash64("_key"), F.col("_subs")).cast("int"))
+            # By key and point: rows of one shared id must not stay together.
+            .withColumn("_sub", part_of(["_key", *names], F.col("_subs")))
             .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
             .drop("_subs", "_chunks")
         )
         right = (
             queries.select(*names, "_leaf").join(splits, "_leaf")
-            .withColumn("_chunk", F.pmod(F.xxhash64(*names), F.col("_chunks")).cast("int"))
+            .withColumn("_chunk", part_of(names, F.col("_chunks")))
             .withColumn("_sub", F.explode(F.sequence(F.lit(0), F.col("_subs") - 1)))
             .drop("_subs", "_chunks")
         )
@@ -488,6 +489,11 @@ class NeighbourIndex:
         return met
 
 
+def part_of(columns: list[str], parts: Column) -> Column:
+    """Number of the part a row of a split leaf goes to."""
+    return F.pmod(F.xxhash64(*columns), parts).cast("int")
+
+
 def _matrix(axes) -> np.ndarray:
     if not axes:
         return np.zeros((0, 0))

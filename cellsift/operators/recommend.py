@@ -78,22 +78,28 @@ def closest_allowed(values: DataFrame, column: str, allowed, method: str = "gest
         return distinct.withColumn("_m", match("value")).select(
             "value", F.col("_m.match").alias("match"), F.col("_m.ratio").alias("ratio")
         )
+    found = nearest_allowed(F.col("value"), allowed)
+    return distinct.select("value", found["match"].alias("match"), found["ratio"].alias("ratio"))
+
+
+def nearest_allowed(value: Column, allowed) -> Column:
+    """(match, ratio) of the allowed value with the best edit-distance ratio; nulls below the cutoff."""
     options = F.array(
         *[
             F.struct(
-                F.round(similarity.levenshtein_ratio(F.col("value"), F.lit(str(a))), 4).alias("ratio"),
+                F.round(similarity.levenshtein_ratio(value, F.lit(str(a))), 4).alias("ratio"),
                 F.lit(str(a)).alias("match"),
             )
             for a in allowed
         ]
     )
-    best = distinct.withColumn("_b", F.array_max(options))
-    near = F.col("_b.ratio") >= SIMILARITY_CUTOFF
-    return best.select(
-        "value",
-        F.when(near, F.col("_b.match")).alias("match"),
-        F.when(near, F.col("_b.ratio")).alias("ratio"),
-    )
+
+    def judged(best: Column) -> Column:
+        near = best["ratio"] >= SIMILARITY_CUTOFF
+        return F.struct(F.when(near, best["match"]).alias("match"), F.when(near, best["ratio"]).alias("ratio"))
+
+    # The array of one names the maximum, so it is found once.
+    return F.transform(F.array(F.array_max(options)), judged)[0]
 
 
 def category_matches(findings: DataFrame, spec: QualitySpec) -> DataFrame | None:
@@ -117,8 +123,19 @@ def category_matches(findings: DataFrame, spec: QualitySpec) -> DataFrame | None
 
 def recommend_invalid(findings: DataFrame, spec: QualitySpec) -> DataFrame:
     """Suggestions for invalid findings: clip numbers, match categories."""
-    matches = category_matches(findings, spec)
-    if matches is None:
+    listed = {c: r.allowed_values for c, r in spec.rules.items() if r.dtype == "categorical" and r.allowed_values}
+    in_place = spec.similarity == "levenshtein"
+    matches = None if in_place else category_matches(findings, spec)
+    if in_place and listed:
+        # Edit distance is an expression: no distinct values, no join, no hot values.
+        found = F.lit(None)
+        for column, allowed in listed.items():
+            here = (F.col("column_name") == column) & (F.col("issue_type") == "invalid")
+            found = F.when(here, nearest_allowed(F.col("current_value"), allowed)).otherwise(found)
+        joined = findings.withColumn("_found", found).select(
+            *findings.columns, F.col("_found.match").alias("match"), F.col("_found.ratio").alias("ratio")
+        )
+    elif matches is None:
         joined = findings.withColumns({"match": F.lit(None).cast("string"), "ratio": F.lit(None).cast("double")})
     else:
         joined = findings.join(

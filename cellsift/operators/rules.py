@@ -243,11 +243,14 @@ def explode_findings(rows: DataFrame, spec: QualitySpec) -> DataFrame:
 
 
 def as_issues(findings: DataFrame) -> DataFrame:
-    """Give exploded findings the issue schema."""
+    """Give exploded findings the issue schema.
+
+    The id of an issue is a hash of its row id, cell, value and rule, so reruns
+    repeat it. Rows that agree in all of these share it: a repair, which goes by
+    row id and column, could not treat them differently either.
+    """
     have = set(findings.columns)
-    key = F.concat_ws(
-        "|", F.coalesce("row_id", F.lit("")), "column_name", "issue_type", "source_method", "reason"
-    )
+    key = F.to_json(F.struct("row_id", "column_name", "current_value", "issue_type", "source_method", "reason"))
     return findings.select(
         F.md5(key).alias("issue_id"),
         "row_id",

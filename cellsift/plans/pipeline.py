@@ -46,7 +46,8 @@ class DetectionRun:
         return repair.apply_fixes(self.table, self.issues, self.spec, mode, approvals)
 
     def public_issues(self) -> DataFrame:
-        return self.issues.select(*rules.ISSUE_COLUMNS)
+        """Issues in their order, without the columns that only repairs need."""
+        return rules.in_issue_order(self.issues).select(*rules.ISSUE_COLUMNS)
 
     def close(self) -> None:
         """Free caches and delete the stages of this run."""

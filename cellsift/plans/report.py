@@ -23,8 +23,9 @@ def recommendations(issues: DataFrame) -> DataFrame:
 def issue_summary(issues: DataFrame) -> DataFrame:
     """(metric, value) table from one pass over the issues.
 
-    The pass groups by type and severity, which leaves a dozen rows; all
-    metrics come from those. Without issues only the total of 0 remains.
+    The pass groups by type and severity, which leaves a dozen rows. These are
+    packed into one row, and all metrics come from it. Without issues only the
+    total of 0 remains.
     """
     cube = issues.groupBy("issue_type", "severity").agg(
         F.count(F.lit(1)).alias("n"),
@@ -32,29 +33,27 @@ def issue_summary(issues: DataFrame) -> DataFrame:
         F.count("confidence").alias("rated"),
         F.sum(F.col("can_auto_fix").cast("int")).alias("fixable"),
     )
-    sides = cube.groupingSets([["issue_type"], ["severity"]], "issue_type", "severity").agg(
-        F.grouping("issue_type").alias("by_severity"), F.sum("n").cast("double").alias("value")
-    )
-    counted = sides.select(
-        (F.col("by_severity") + 1).cast("int").alias("block"),
-        F.when(F.col("by_severity") == 1, F.concat(F.lit("severity_"), "severity"))
-        .otherwise(F.concat(F.lit("issue_type_"), "issue_type")).alias("metric"),
-        "value",
-    )
     # A total without groups has a row even if there is no issue.
     whole = cube.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("n"),
         F.round(F.try_divide(F.sum("confidence"), F.sum("rated")), 4).alias("confidence"),
         F.round(F.try_divide(F.sum("fixable"), F.sum("n")), 4).alias("fixable"),
+        F.collect_list(F.struct("issue_type", "severity", F.col("n").cast("double").alias("n"))).alias("groups"),
     )
-    grand = whole.select(
-        F.expr(
-            "stack(3, 0, 'total_issues', n, 3, 'average_confidence', confidence, 4, 'fixable_rate', fixable)"
-            " AS (block, metric, value)"
-        )
+
+    def metric(block: int, name, value):
+        return F.struct(F.lit(block).alias("block"), name.alias("metric"), value.alias("value"))
+
+    grand = F.array(
+        metric(0, F.lit("total_issues"), F.col("n")),
+        metric(3, F.lit("average_confidence"), F.col("confidence")),
+        metric(4, F.lit("fixable_rate"), F.col("fixable")),
     )
+    by_type = F.transform("groups", lambda g: metric(1, F.concat(F.lit("issue_type_"), g["issue_type"]), g["n"]))
+    by_severity = F.transform("groups", lambda g: metric(2, F.concat(F.lit("severity_"), g["severity"]), g["n"]))
     return (
-        grand.unionByName(counted)
+        whole.select(F.inline(F.concat(grand, by_type, by_severity)))
+        .groupBy("block", "metric").agg(F.sum("value").alias("value"))
         .filter("value IS NOT NULL AND metric IS NOT NULL")
         .orderBy("block", F.desc("value"), "metric")
         .select("metric", "value")

@@ -106,6 +106,15 @@ def test_shared_ids_lose_only_one_entry(spark):
     assert [[n["key"] for n in r["neighbours"]] for r in got] == [["a", "b"], ["a", "b"]]
 
 
+def test_rows_of_one_id_are_split(spark):
+    rows = [("same", a, b, g) for _, a, b, g in random_rows(7, 400, "r")]
+    index = NeighbourIndex(spark.createDataFrame(rows, SCHEMA), FEATURES, "id", ["a"], 3, leaf_rows=1000)
+    part = neighbours.part_of(["_key", *FEATURES.names], F.lit(8))
+    sizes = [r["count"] for r in index.rows.groupBy(part).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 0.3 * sum(sizes)
+    index.close()
+
+
 def test_no_queries_give_no_rows(spark):
     ref = spark.createDataFrame(random_rows(11, 200, "r"), SCHEMA)
     index = NeighbourIndex(ref, FEATURES, "id", ["a"], 5, leaf_rows=40)

@@ -222,6 +222,20 @@ def test_summary_of_nothing(spark, sf):
     assert report.recommendations(empty).columns == list(report.RECOMMENDATION_COLUMNS)
 
 
+def test_summary_reads_the_table_once(spark, sf, tmp_path):
+    path = str(tmp_path / "table")
+    tables.dirty_transactions(spark, sf).write.parquet(path)
+    issues = rules.rule_issues(spark.read.parquet(path), tables.transactions_spec())
+    plan = report.issue_summary(issues)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_written_issues_are_in_order(run):
+    kept = [(r["issue_seq"], r["row_id"]) for r in run.issues.select("issue_seq", "row_id").collect()]
+    shown = [r["row_id"] for r in run.public_issues().collect()]
+    assert shown == [row for _, row in sorted(kept)]
+
+
 def test_summary_order(run):
     names = [r["metric"] for r in run.summary().collect()]
     assert names[0] == "total_issues" and names[-2:] == ["average_confidence", "fixable_rate"]

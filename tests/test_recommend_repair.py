@@ -108,6 +108,14 @@ def test_edit_distance_similarity(spark):
     assert got == {("a", "g"): ("RETAIL", 0.8333), ("b", "g"): ("RETAIL", 0.5)}
 
 
+def test_edit_distance_needs_no_shuffle(spark):
+    spec = SPEC.with_options(similarity="levenshtein")
+    df = spark.createDataFrame([("a", "1", "RETAI"), (None, "1", None)], "id string, n string, g string")
+    findings = rules.explode_findings(rules.with_findings(df, spec), spec)
+    plan = recommend.recommend_invalid(findings, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_anomaly_severity(spark):
     df = spark.createDataFrame([(10.0, 4.0), (None, 4.0), (10.0, None), (4.0, 4.0)], "c double, s double")
     score = recommend.anomaly_severity(F.col("c"), F.col("s"), F.lit(True))

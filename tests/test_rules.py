@@ -108,6 +108,15 @@ def test_issue_ids_are_repeatable(spark, sf):
     assert one.count() == one.distinct().count()
 
 
+def test_issue_ids_tell_values_of_a_shared_id_apart(spark, sf):
+    """Only findings that agree in row id, cell, value and rule share an id."""
+    lines = tables.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    issues = rules.rule_issues(lines, tables.lines_spec())
+    told = issues.select("row_id", "column_name", "current_value", "issue_type", "source_method", "reason").distinct()
+    by_cell = issues.select("row_id", "column_name").distinct().count()
+    assert issues.select("issue_id").distinct().count() == told.count() > by_cell
+
+
 def test_rules_need_no_shuffle(spark, sf):
     df = tables.dirty_transactions(spark, sf)
     plan = rules.rule_issues(df, tables.transactions_spec())._jdf.queryExecution().executedPlan().toString()
