@@ -396,7 +396,7 @@ def anomaly_issues_leave_one_out(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def full_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """Detect, recommend, repair and evaluate; the evaluation is returned."""
+    """Detect, recommend and evaluate; the evaluation is returned."""
     run = pipeline.run_detection(t.dirty_transactions(spark, d), t.transactions_spec())
     return evaluate.evaluation_report(t.seed_labels(spark, d), run.issues)
 
