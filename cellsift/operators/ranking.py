@@ -81,7 +81,7 @@ def hash_cuts(df: DataFrame, order: Column, ranks_of: Callable[[int], Sequence[i
         if done and not open_prefixes:
             break
         scope = hashes.filter(F.substring("h", 1, done).isin(*open_prefixes)) if done else hashes
-        # 16**3 groups at first; later only rows that share a long prefix are left.
+        # At most 16**3 groups per open rank where many rows can be left, then few.
         groups = scope.groupBy(F.substring("h", 1, length).alias("p")).count().orderBy("p").collect()
         if not done:
             marks = [_Mark(rank) for rank in ranks_of(sum(g["count"] for g in groups))]
@@ -92,8 +92,9 @@ def hash_cuts(df: DataFrame, order: Column, ranks_of: Callable[[int], Sequence[i
     return marks
 
 
-# Prefix lengths of one or two md5 texts that ranks are narrowed by.
-HASH_PREFIXES = (3, 6, 12, 32, 64)
+# Prefix lengths of one or two md5 texts that ranks are narrowed by. The second is
+# narrowed as the first: any share of the rows can agree in all of the first.
+HASH_PREFIXES = (3, 6, 12, 32, 35, 38, 44, 64)
 
 
 class _Mark:

@@ -38,6 +38,25 @@ def test_threshold_narrows_shared_prefixes(spark):
     assert df.filter(F.col("h") <= bound).count() == 17
 
 
+@pytest.mark.parametrize("hot", ["k", None])
+def test_hot_ids_are_narrowed_in_spark(spark, monkeypatch, hot):
+    """A rank inside an id with many distinct rows brings a bounded number of groups to the driver."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 4 > 0, F.lit(hot)).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    sizes, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: sizes.append(len(rows := collect(self))) or rows)
+    order = ranking.row_order(42, F.col("k"), df.columns)
+    texts = sorted(r["h"] for r in collect(df.select(order.alias("h"))))
+    key = hashlib.md5(f"42:{hot or ''}".encode()).hexdigest()
+    first = next(i for i, h in enumerate(texts) if h.startswith(key))
+    ranks = [first + 1, first + 5_000, first + 12_345]
+    marks = ranking.hash_cuts(df, order, lambda n: ranks)
+    assert [sum(h <= m.bound for h in texts) for m in marks] == ranks and not any(m.left for m in marks)
+    assert max(sizes) <= len(ranks) * 16**3
+    sizes.clear()
+    ids = {r["id"] for r in collect(seed.sample_exact(df, "k", first + 5_000))}
+    assert len(ids) == first + 5_000 and max(sizes) <= 16**3
+
+
 def test_equal_hashes_stay_together(spark):
     df = spark.createDataFrame([("a" * 32,)] * 5 + [("b" * 32,)] * 5, "h string")
     bounds = ranking.hash_thresholds(df, F.col("h"), lambda n: [3, 5, 9, 10])
