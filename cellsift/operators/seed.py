@@ -2,7 +2,8 @@
 
 Rows are taken in the order of a hash of seed and id, so the choice depends on
 neither partitioning nor engine. The hash at each wanted rank is found by
-counting; after that every row decides for itself and nothing is shuffled.
+counting; after that every row decides for itself and nothing is shuffled. Only
+equal rows that a rank falls into are numbered, to take as many as are wanted.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellsift.functions import cells
-from cellsift.operators.ranking import hash_cuts, hash_order, hash_thresholds, row_order
+from cellsift.operators.ranking import hash_cuts, hash_order, row_order, row_positions
 from cellsift.spec import QualitySpec
 
 # Columns that lose their value, invalid values, outlier factors.
@@ -101,19 +102,31 @@ def _mark_faults(df: DataFrame, id_column: str, rate: float, seed: int, plan: Fa
 
     options = _options(df, plan)
     pick = _byte_of(hash_order(f"col:{seed}", key))
-    number = None
-    for kind, bound in zip(("missing", "invalid", "anomaly"), hash_thresholds(df, order, ranks)):
-        mine = [o for o in options if o[1] == kind]
-        if bound is None or not mine:
-            continue
-        by_place = {o[2]: o[0] for o in mine}
-        of = mine[0][3]
-        numbers = F.array(*[F.lit(by_place.get(i)).cast("int") for i in range(of)])
-        chosen = F.element_at(numbers, (pick % of + 1).cast("int"))
-        number = F.when(order <= bound, chosen) if number is None else number.when(order <= bound, chosen)
-    if number is None:
-        number = F.lit(None).cast("int")
-    marked = df.withColumn("_fault", number)
+    cuts = list(zip(("missing", "invalid", "anomaly"), hash_cuts(df, order, ranks)))
+
+    def number(copy: Column | None = None, crossing: str = "") -> Column:
+        """The fault of a row; ``copy`` is its place among the equal rows of the group ``crossing``."""
+        out = F.lit(None).cast("int")
+        for kind, cut in reversed(cuts):
+            mine = [o for o in options if o[1] == kind]
+            if not mine:
+                continue
+            inside = F.lit(False) if cut.bound is None else order <= cut.bound
+            if cut.left and cut.prefix == crossing:
+                inside = inside | (copy < cut.left)
+            by_place = {o[2]: o[0] for o in mine}
+            of = mine[0][3]
+            numbers = F.array(*[F.lit(by_place.get(i)).cast("int") for i in range(of)])
+            chosen = F.element_at(numbers, (pick % of + 1).cast("int"))
+            out = F.when(inside, chosen).otherwise(out)
+        return out
+
+    # Equal rows that a rank falls into are numbered, so that it takes as many as are left.
+    crossing = sorted({cut.prefix for _, cut in cuts if cut.left})
+    marked = (df.filter(~order.isin(crossing)) if crossing else df).withColumn("_fault", number())
+    for prefix in crossing:
+        equal = row_positions(df.filter(order == prefix), "_copy")
+        marked = marked.union(equal.withColumn("_fault", number(F.col("_copy"), prefix)).drop("_copy"))
     # Cells that are no number cannot be scaled: no fault, no label.
     for o in options:
         if o[1] == "anomaly" and cells.is_text(df.schema[o[4]].dataType):

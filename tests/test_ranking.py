@@ -111,6 +111,20 @@ def test_seeding_ignores_partitioning(spark, sf):
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
 
 
+@pytest.mark.parametrize("rate", [0.2, 0.85, 1.0])
+@pytest.mark.parametrize("hot", ["k", "k3", None])
+def test_seeding_counts_equal_rows(spark, rate, hot):
+    """Equal rows that a rank falls into get exactly the faults that are left of each kind."""
+    rows = [(hot, "a", "x", 5.0, 2)] * 900 + [(f"r{i}", "a", "x", 5.0, 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "transaction_id string, domain string, location string, value double, transaction_count int")
+    dirty, labels = seed.seed_faults(df.repartition(6), tables.transactions_spec(), rate=rate)
+    kinds = {r["issue_type"]: r["count"] for r in labels.groupBy("issue_type").count().collect()}
+    n = int(1000 * rate)
+    assert kinds == dict(zip(("missing", "invalid", "anomaly"), seed.part_sizes(n)))
+    assert dirty.count() == 1000 and dirty.exceptAll(df).count() == n
+    assert dirty.filter(F.col("transaction_id").eqNullSafe(hot)).count() == 900
+
+
 def test_part_sizes():
     assert seed.part_sizes(2000) == [667, 667, 666]
     assert seed.part_sizes(2) == [1, 1, 0]
