@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,3 +293,92 @@ def test_pipeline(spark, sf):
     assert out and {r.doc_id for r in out} <= set(table)
     assert all(r.n_tokens == len(r.ids) for r in out)
     assert max(Counter(r.doc_id for r in out).values()) <= 2
+
+
+def _shares(tokens, a):
+    raised = {s: t**a for s, t in tokens.items()}
+    return {s: x / sum(raised.values()) for s, x in raised.items()}
+
+
+def _entropy(shares):
+    return -sum(p * np.log(p) for p in shares.values())
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    """Each stage's decisions: who is rejected, which copy stays, what is redacted, how often a document comes."""
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+    vocabulary = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 9))) for _ in range(3000)]
+    sources = ["hot"] * 90 + ["s1"] * 40 + ["s2"] * 25 + ["s3"] * 12
+    texts, redacted = {}, {}
+    for i, _ in enumerate(sources):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randint(70, 110))]
+        if i % 6 == 1:
+            words = [rnd.choice(["###", "$$$!", "BUY!!", "0099", "%%"]) if rnd.random() < 0.6 else w for w in words]
+        elif i % 6 == 2:
+            words = texts[i - 2].split()
+            words[20] = rnd.choice(vocabulary)
+        elif i % 6 == 3:
+            words[5], words[30] = f"user{i}@host.example.com", f"10.2.3.{i}"
+        texts[i] = " ".join(words)
+        redacted[i] = re.sub(r"user\d+@host.example.com", "[EMAIL]", re.sub(r"10\.2\.3\.\d+", "[IP]", texts[i]))
+    rows = [(i, texts[i], "en", s, len(texts[i])) for i, s in enumerate(sources)]
+    given = {i: int(i % 6 != 1) for i in texts if i % 5}
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, q, 0) for i, q in given.items()], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def features(ids):
+        text = quality.text_features(pa.array([texts[i] for i in ids]))
+        return text, quality.meta_features(pa.array([sources[i] for i in ids]), pa.array(["en"] * len(ids)), pa.array([float(len(texts[i])) for i in ids]))
+
+    known, pool = sorted(given), [i for i in texts if i not in given]
+    model = quality.co_train(*features(known), np.array([float(given[i]) for i in known]), *features(pool))
+    good = [i for i in texts if model.score(*features([i]))[2][0] >= 0.5]
+    assert 0 < len(texts) - len(good) < 60
+
+    bags = {i: Counter(zip(*(texts[i].split()[k:] for k in range(5)))) for i in good}
+    freq = Counter(s for b in bags.values() for s in b)
+    idf = {s: (np.log1p(len(good) / max(n, 0.01 * len(good))) / np.log1p(100)) ** 0.25 for s, n in freq.items()}
+    kind = {i: i for i in good}
+    for i in good:
+        for j in good:
+            if i < j and set(bags[i]) & set(bags[j]):
+                both = sum(min(n, bags[j][s]) * idf[s] for s, n in bags[i].items() if s in bags[j])
+                alike = both / (sum(n * idf[s] for b in (bags[i], bags[j]) for s, n in b.items()) - both)
+                assert not 0.78 < alike < 0.82
+                if alike >= 0.8:
+                    a, b = sorted((kind[i], kind[j]))
+                    kind = {k: a if v == b else v for k, v in kind.items()}
+    stay = [i for i in good if kind[i] == i]
+    assert len(stay) < len(good)
+
+    size = {i: len(redacted[i].split()) for i in stay}
+    tokens = Counter()
+    for i in stay:
+        tokens[sources[i]] += size[i]
+    own = _shares(tokens, 1)
+    target = _entropy(own) + 0.5 * (np.log(len(own)) - _entropy(own)) + 1e-12
+    ratio = max(tokens.values()) / min(tokens.values())
+    fits = lambda m: _entropy(_shares(tokens, m / 2**20)) <= target and ratio ** (1 - m / 2**20) <= 4 + 1e-9
+    low, high = -1, 2**20
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if fits(middle) else (middle, high)
+    share = _shares(tokens, high / 2**20)
+    budget = max(tokens.values()) / max(share.values())
+    want = Counter()
+    encoder = pieces.Encoder(piece_model()).library
+    for s in tokens:
+        quota = round(share[s] * budget)
+        left = quota % tokens[s]
+        place = lambda i: hashlib.md5(f"{mixing.SEED}:{i}:{hashlib.md5(redacted[i].encode()).hexdigest()}".encode()).hexdigest()[:15]
+        for i in sorted((i for i in stay if sources[i] == s), key=place):
+            left -= size[i]
+            want[i, s, tuple(encoder.encode(redacted[i]))] = quota // tokens[s] + (left >= 0)
+            left = left if left >= 0 else -1
+    assert max(want.values()) > 1
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.source, tuple(r.ids)) for r in out) == want
+    # The target itself is reached, not a limit on the way.
+    assert abs(_entropy(share) - target) < 1e-4
