@@ -1,9 +1,11 @@
 """Main text of web pages by consensus of each host's pages.
 
-Each page's containers are scored by the running text they hold. Their paths,
-generalised to tags and classes, are voted on per host in Spark. Then each page
-is read again: the elements at its host's winning paths hold its main text. A
-page where none of them has text goes by its own best container.
+Each page's running text is shared out among the containers that hold it. Their
+paths, generalised to tags and classes, are voted on per host in Spark. Then each
+page is read again: the elements at its host's winning paths together hold its main
+text, in page order. A page with less than half of its running text there goes by
+its own best containers too. The body gives only text outside of other containers,
+unless it is all there is.
 """
 
 from __future__ import annotations
@@ -20,9 +22,12 @@ from pyspark.sql import types as T
 
 from cellsift.sources.scratch import cut_lineage
 
-#: Winning paths of a host, and paths a page votes for.
-WINNERS = 5
-VOTES = 3
+#: Winning paths of a host, at most.
+WINNERS = 20
+#: Share of a page's running text that a path must hold to win: on average where it occurs.
+HOLDS = 0.1
+#: Share of a page's running text below which the host's paths do not do for it.
+ENOUGH = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>|[^>]*>)", re.S
@@ -35,6 +40,7 @@ _INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split()
 )
 _CONTAINER = frozenset("article main section div td body".split())
+_GENERIC = frozenset("# html body".split())
 _DROP = frozenset(
     "nav footer aside form script style textarea title noscript iframe template head button select svg canvas object "
     "dialog menu fieldset input audio video map".split()
@@ -129,65 +135,72 @@ def parse(html: str) -> Page:
             stack.append(len(page.tag) - 1)
 
 
-def containers(page: Page) -> dict[int, float]:
-    """A score for each container: running text it holds, half of that of containers in it, less links."""
-    nearest, link = [0] * len(page.tag), [False] * len(page.tag)
-    score: dict[int, float] = {}
+def homes(page: Page) -> list[int]:
+    """The container each element's text belongs to: the nearest article or main, else the nearest of all."""
+    home = [0] * len(page.tag)
     for e in range(1, len(page.tag)):
-        up = page.parent[e]
-        link[e] = link[up] or page.tag[e] == "a"
-        nearest[e] = e if page.tag[e] in _CONTAINER else nearest[up]
+        up = home[page.parent[e]]
+        inner = page.tag[e] in _CONTAINER and page.tag[up] not in ("article", "main")
+        home[e] = e if inner or page.tag[e] in ("article", "main") else up
+    return home
+
+
+def votes(page: Page) -> list[tuple[str, float]]:
+    """Paths that hold running text, links taken off, with their share of the page's; most first."""
+    link = [False] * len(page.tag)
+    for e in range(1, len(page.tag)):
+        link[e] = link[page.parent[e]] or page.tag[e] == "a"
+    home = homes(page)
+    score: dict[str, float] = {}
     for e, text in page.texts:
         if page.dropped[e] or not text.strip():
             continue
-        size = len(text) * (-1.0 if link[e] else 1.0) + 20.0 * text.count(",") * (not link[e])
-        home, share = nearest[e], 1.0
-        while home > 0 and share > 0.1:
-            bonus = 1.5 if page.tag[home] in ("article", "main") else 1.0
-            score[home] = score.get(home, 0.0) + share * bonus * size
-            home, share = nearest[page.parent[home]], share / 2
-    return {e: s for e, s in score.items() if s > 0}
+        size = -float(len(text)) if link[e] else len(text) + 20.0 * text.count(",")
+        path = page.path[home[e]]
+        score[path] = score.get(path, 0.0) + size
+    total = sum(s for s in score.values() if s > 0)
+    return sorted(((p, s / total) for p, s in score.items() if s > 0), key=lambda x: (-x[1], x[0]))
 
 
-def votes(page: Page) -> list[tuple[str, float]]:
-    """Paths of the page's best containers, the best with a share of 1."""
-    total: dict[str, float] = {}
-    for e, s in containers(page).items():
-        total[page.path[e]] = total.get(page.path[e], 0.0) + s
-    best = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
-    return [(path, s / best[0][1]) for path, s in best]
+def text_at(page: Page, paths: set[str]) -> str:
+    """Text of all elements at the paths, in page order and once, without what is dropped.
 
-
-def text_at(page: Page, path: str) -> str:
-    """Text of all elements at a path, in page order, without what is dropped."""
+    Body and root give the text that belongs to no other container; all of it if
+    no other path is there.
+    """
+    home = homes(page)
+    at = {h for h in home if page.path[h] in paths}
+    narrow = any(page.tag[h] not in _GENERIC for h in at)
     inside = [False] * len(page.tag)
-    for e in range(1, len(page.tag)):
-        inside[e] = inside[page.parent[e]] or (page.path[e] == path and page.tag[e] not in _INLINE)
-    return " ".join("".join(t for e, t in page.texts if inside[e] and not page.dropped[e]).split())
+    for e in range(len(page.tag)):
+        whole = e in at and not (narrow and page.tag[e] in _GENERIC)
+        inside[e] = whole or (e > 0 and inside[page.parent[e]])
+    return " ".join("".join(t for e, t in page.texts if (inside[e] or home[e] in at) and not page.dropped[e]).split())
 
 
 def extract(html: str | None, paths: list[str] | None) -> str:
-    """The main text by the first of ``paths`` that has text, or by the page's own best."""
+    """The main text by those of ``paths`` that hold running text, and by the page's own if they hold little."""
     if not html:
         return ""
     page = parse(html)
-    for path in [*(paths or []), *(p for p, _ in votes(page)), ">html>body", ">body", ""]:
-        text = text_at(page, path) if path else " ".join("".join(t for e, t in page.texts if not page.dropped[e]).split())
-        if text:
-            return text
-    return ""
+    held = dict(votes(page))
+    chosen = {p for p in paths or [] if p in held}
+    if sum(held[p] for p in chosen) < ENOUGH:
+        chosen |= {p for p, share in held.items() if share >= HOLDS} or set(list(held)[:1])
+    return text_at(page, chosen) or text_at(page, {""})
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        total: dict[tuple[str | None, str], float] = {}
+        total: dict[tuple[str | None, str], tuple[float, int]] = {}
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for path, share in votes(parse(html)) if html else []:
-                total[host, path] = total.get((host, path), 0.0) + share
-        keys = list(total)
+                given, n = total.get((host, path), (0.0, 0))
+                total[host, path] = given + share, n + 1
+        given, n = zip(*total.values()) if total else ((), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(total.values()), pa.float64())],
-            names=["host", "path", "votes"],
+            [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), pa.array(given, pa.float64()), pa.array(n, pa.int64())],
+            names=["host", "path", "votes", "n"],
         )
 
 
@@ -206,8 +219,10 @@ def host(url: str = "url") -> F.Column:
 def winning_paths(pages: DataFrame) -> DataFrame:
     """``host`` and its ``paths``, most votes first. Votes are added before they are dealt by host."""
     rows = pages.select(host().alias("host"), F.col("html").cast("string").alias("html"))
-    total = rows.mapInArrow(_vote, "host string, path string, votes double")
-    total = total.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))
+    total = rows.mapInArrow(_vote, "host string, path string, votes double, n long")
+    total = total.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"), F.sum("n").alias("n"))
+    # A path that seldom holds much, as a notice beside the text, does not win by being everywhere.
+    total = total.where(F.col("votes") >= HOLDS * F.col("n"))
     order = Window.partitionBy("host").orderBy(F.desc("votes"), "path")
     best = total.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= WINNERS)
     best = best.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("p"))

@@ -214,6 +214,32 @@ def test_html(spark):
     assert html.main_text(df.limit(0), []).count() == 0
 
 
+def test_html_of_several_containers(spark):
+    """Text in several containers comes whole and once; pages of a minority template do not fall to the body."""
+    words = lambda n: "Text of a story that runs on. " * n
+    top = "<html><body><nav><a href=/>Menu</a></nav><div class=legal>All rights kept</div>{}</body></html>"
+    two = top.format("<div class=intro><p>Begin. {}</div><div class=story><p>Middle. {}<div class=quote>Quote.</div></div>")
+    article = top.format("<article><h1>Head</h1><section><p>{}</section><section>{}</section></article>")
+    post = top.format("<div class=post><p>Post. {}</div>")
+    loose = top.format("<p>Loose. {}</p><div class=rest><p>Rest. {}</div>")
+    rows = [(i, "http://two.example/", two.format(words(8), words(12 + i % 3))) for i in range(20)]
+    # One page has a short intro, one none.
+    rows += [(20, "http://two.example/", two.format("", words(60))), (21, "http://two.example/", two.replace("Begin. ", "").format("", words(9)))]
+    rows += [(100 + i, "http://mixed.example/", article.format(words(9), words(5))) for i in range(90)]
+    rows += [(200 + i, "http://mixed.example/", post.format(words(9))) for i in range(10)]
+    rows += [(300 + i, "http://loose.example/", loose.format(words(9), words(9))) for i in range(3)]
+    rows += [(400, "http://mixed.example/", top.format(f"<div class=odd><p>Odd. {words(9)}</div>"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html.main_text(df, []).collect()}
+    for i in range(20):
+        assert got[i] == f"Begin. {words(8)}Middle. {words(12 + i % 3)}Quote."
+    assert got[20] == f"Begin. Middle. {words(60)}Quote." and got[21] == f"Middle. {words(9)}Quote."
+    assert {got[100 + i] for i in range(90)} == {f"Head {words(9)}{words(5)}".strip()}
+    assert {got[200 + i] for i in range(10)} == {f"Post. {words(9)}".strip()}
+    assert {got[300 + i] for i in range(3)} == {f"Loose. {words(9)}Rest. {words(9)}".strip()}
+    assert got[400] == f"Odd. {words(9)}".strip()
+
+
 def test_mixing(spark, docs, empty):
     rows = mixing.mixed(docs, [], max_repeats=3.0).collect()
     tokens = Counter()
