@@ -311,6 +311,30 @@ def test_near_duplicates(spark, docs, empty):
     assert minhash.classes(empty, []).count() == 0
 
 
+def test_many_frequent_shingles(spark, monkeypatch):
+    """Where the list of frequent shingles is too long, all are weighed by the share it was made with."""
+    made = []
+
+    class Recorded(minhash.Weights):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append((args[2], self.factor))
+
+    monkeypatch.setattr(minhash, "Weights", Recorded)
+    monkeypatch.setattr(minhash, "MAX_FREQUENT", 40)
+    passages = [[f"p{k}x{j}" for j in range(9)] for k in range(12)]
+    texts = [" ".join([f"d{i}w{j}" for j in range(20)] + [w for k, p in enumerate(passages) if i % (k + 1) == 0 for w in p]) for i in range(40)]
+    counts = Counter(s for t in texts for s in set(zip(*(t.split()[k:] for k in range(5)))))
+    share = minhash.IDF_SHARE
+    while sum(n >= share * 40 for n in counts.values()) > 40:
+        share *= 2
+    assert share > minhash.IDF_SHARE
+    minhash.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), []).count()
+    ((count, factor),) = made
+    assert sorted(count) == sorted(n for n in counts.values() if n >= share * 40)
+    assert factor == pytest.approx((np.log1p(40 / count) / np.log1p(1 / share)) ** minhash.IDF_POWER)
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
 
