@@ -85,7 +85,27 @@ SELECT doc_id, source, n_tokens, CAST(epoch AS INTEGER) AS epoch, block, round(w
 FROM copies
 """
 
+LINES = """
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM rows),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+firsts AS (
+    SELECT key, min(doc_id) AS least FROM keyed WHERE length(key) >= 10 GROUP BY key
+    HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) > 1),
+judged AS (SELECT k.*, f.key IS NOT NULL AND coalesce(doc_id <> least, least IS NOT NULL) AS gone FROM keyed k LEFT JOIN firsts f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
+
 
 def statements() -> dict[str, str]:
     """Learned, voted and iterated operators are no SQL; nor are spans scored by their context."""
-    return {"op2_embedding_near_dedup": EMBEDDINGS, "op3_sharding": SHARDS, "op8_mixing": MIXING}
+    return {
+        "op2_embedding_near_dedup": EMBEDDINGS,
+        "op3_sharding": SHARDS,
+        "op8_mixing": MIXING,
+        "op12_line_dedup": LINES,
+    }

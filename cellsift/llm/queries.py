@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellsift.llm import embeddings, html, language, minhash, mixing, pieces, pii, quality, rules, sharding
+from cellsift.llm import embeddings, html, language, lines, minhash, mixing, pieces, pii, quality, rules, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,6 +66,11 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.selectExpr("doc_id", "class_id", "doc_id = class_id as kept")
 
 
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = lines.drop_repeated(_table(spark, folder, "documents").select("doc_id", "text"), [])
+    return out.select("doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2("_lines.text", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,6 +80,6 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id, op2_embedding_near_dedup, op3_sharding, op4_sentencepiece, op5_quality_rules, op6_pii,
-        op7_html_extraction, op8_mixing, op9_quality_classifier, op10_minhash_near_dedup, pipeline,
+        op7_html_extraction, op8_mixing, op9_quality_classifier, op10_minhash_near_dedup, op12_line_dedup, pipeline,
     )
     return {f.__name__: f for f in found}
