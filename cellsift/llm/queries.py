@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsift.llm import embeddings, html, language, lines, minhash, mixing, pieces, pii, quality, rules, sharding
+from cellsift.llm import (
+    embeddings, html, language, lines, minhash, mixing, pieces, pii, prefixes, quality, rules, sharding,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,6 +73,12 @@ def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2("_lines.text", 256).alias("kept_sha256"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.prefix_trie(_table(spark, folder, "conversations"), []).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +88,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id, op2_embedding_near_dedup, op3_sharding, op4_sentencepiece, op5_quality_rules, op6_pii,
-        op7_html_extraction, op8_mixing, op9_quality_classifier, op10_minhash_near_dedup, op12_line_dedup, pipeline,
+        op7_html_extraction, op8_mixing, op9_quality_classifier, op10_minhash_near_dedup, op12_line_dedup,
+        op13_conversation_prefix_trie, pipeline,
     )
     return {f.__name__: f for f in found}
