@@ -140,6 +140,38 @@ SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_chil
 FROM weighed w JOIN sums s ON s.d = w.d AND s.k = w.k LEFT JOIN nodes p ON p.d = w.d - 1 AND p.k = w.k[1:w.d - 1]
 """
 
+SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+coded AS (
+    SELECT w, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS t, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x
+    FROM runs WHERE length(w) >= 6),
+hashed AS (
+    SELECT w, {_CRC.format(bytes="list_transform(range(strlen(t)), lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))")} AS h
+    FROM coded, crc),
+slipped AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w FROM hashed),
+words AS (SELECT w, count(*) AS n FROM slipped WHERE length(w) >= 6 GROUP BY w HAVING count(*) >= 5),
+cuts AS (
+    SELECT w, i, substr(w, 1, i - 1) || substr(w, i + 1) AS v FROM (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM words)),
+pairs AS (
+    SELECT a.w AS w, b.w AS o FROM cuts a JOIN cuts b ON a.i = b.i AND a.v = b.v AND a.w <> b.w
+    UNION SELECT c.w, s.w FROM cuts c JOIN words s ON c.v = s.w
+    UNION SELECT s.w, c.w FROM cuts c JOIN words s ON c.v = s.w),
+near AS (
+    SELECT p.w, count(*) AS n_near, arg_min(o.w, struct_pack(less := -o.n, o := o.w)) AS best, max(o.n) AS best_n
+    FROM pairs p JOIN words o ON o.w = p.o GROUP BY p.w),
+forms AS (
+    SELECT w.w, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form,
+        CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+    FROM words w LEFT JOIN near USING (w)),
+ways(w, root) AS (SELECT w, w FROM forms UNION SELECT x.w, f.form FROM ways x JOIN forms f ON f.w = x.root WHERE f.form IS NOT NULL)
+SELECT f.w AS word, f.form, x.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN ways x ON x.w = f.w JOIN forms r ON r.w = x.root WHERE r.form IS NULL
+"""
+
 
 def statements() -> dict[str, str]:
     """Learned, voted and iterated operators are no SQL; nor are spans scored by their context."""
@@ -147,6 +179,7 @@ def statements() -> dict[str, str]:
         "op2_embedding_near_dedup": EMBEDDINGS,
         "op3_sharding": SHARDS,
         "op8_mixing": MIXING,
+        "op11_spelling_variants": SPELLING,
         "op12_line_dedup": LINES,
         "op13_conversation_prefix_trie": PREFIXES,
     }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellsift.llm import (
     embeddings, html, language, lines, minhash, mixing, pieces, pii, prefixes, quality, rules, sharding,
+    spelling,
 )
 
 
@@ -68,6 +69,10 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.selectExpr("doc_id", "class_id", "doc_id = class_id as kept")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"), [])
+
+
 def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = lines.drop_repeated(_table(spark, folder, "documents").select("doc_id", "text"), [])
     return out.select("doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2("_lines.text", 256).alias("kept_sha256"))
@@ -88,7 +93,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id, op2_embedding_near_dedup, op3_sharding, op4_sentencepiece, op5_quality_rules, op6_pii,
-        op7_html_extraction, op8_mixing, op9_quality_classifier, op10_minhash_near_dedup, op12_line_dedup,
+        op7_html_extraction, op8_mixing, op9_quality_classifier, op10_minhash_near_dedup, op11_spelling_variants, op12_line_dedup,
         op13_conversation_prefix_trie, pipeline,
     )
     return {f.__name__: f for f in found}
