@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from cellsift.functions import arrays, cells, similarity
 from cellsift.operators.attribute import with_neighbour_values
+from cellsift.operators.keyed import join_keyed
+from cellsift.operators.matching import best_matches
+from cellsift.sources.scratch import cut_lineage
 from cellsift.spec import QualitySpec
 
 # Least similarity of a match, confidence without one, and the
@@ -21,7 +24,8 @@ FALLBACK_CONFIDENCE = 0.5
 ZERO_MEAN_CONFIDENCE = 0.5
 # Severity score of an anomaly whose cells are no numbers.
 TEXT_SEVERITY_SCORE = 0.5
-
+# Lists up to this length are compared within an expression; longer ones are indexed.
+INLINE_ENTRIES = 32
 
 
 def _suggestion(text: Column, num: Column, confidence: Column) -> Column:
@@ -102,17 +106,18 @@ def nearest_allowed(value: Column, allowed) -> Column:
     return F.transform(F.array(F.array_max(options)), judged)[0]
 
 
-def category_matches(findings: DataFrame, spec: QualitySpec) -> DataFrame | None:
-    """(column, value, match, ratio) for all invalid categories found."""
+def category_matches(findings: DataFrame, spec: QualitySpec, columns) -> DataFrame | None:
+    """(column, value, match, ratio) for the invalid categories found in these columns."""
     parts = []
     invalid = findings.filter("issue_type = 'invalid'")
-    for column, rule in spec.rules.items():
-        if rule.dtype == "categorical" and rule.allowed_values:
-            found = closest_allowed(
-                invalid.filter(F.col("column_name") == column), "current_value",
-                rule.allowed_values, spec.similarity,
-            )
-            parts.append(found.select(F.lit(column).alias("_column"), F.col("value").alias("_value"), "match", "ratio"))
+    for column in columns:
+        allowed, here = spec.rules[column].allowed_values, invalid.filter(F.col("column_name") == column)
+        if spec.similarity == "gestalt":
+            found = closest_allowed(here, "current_value", allowed, spec.similarity)
+        else:
+            entries = findings.sparkSession.createDataFrame([(str(a),) for a in allowed], "entry string")
+            found = best_matches(here.select("current_value"), entries, SIMILARITY_CUTOFF).withColumnRenamed("text", "value")
+        parts.append(found.select(F.struct(F.lit(column).alias("column"), "value").alias("_cell"), "match", "ratio"))
     if not parts:
         return None
     out = parts[0]
@@ -121,28 +126,35 @@ def category_matches(findings: DataFrame, spec: QualitySpec) -> DataFrame | None
     return out
 
 
+def _joined_matches(findings: DataFrame, matches: DataFrame) -> DataFrame:
+    """Findings with the match of their value; a value may hold any share of them."""
+    findings = findings.withColumn("_cell", F.struct(F.col("column_name").alias("column"), F.col("current_value").alias("value")))
+    counts = findings.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    matches = cut_lineage(matches.join(counts, "_cell"), "matches")
+    return join_keyed(findings, matches, "_cell", "_n", "left").drop("_cell", "_n")
+
+
 def recommend_invalid(findings: DataFrame, spec: QualitySpec) -> DataFrame:
-    """Suggestions for invalid findings: clip numbers, match categories."""
+    """Suggestions for invalid findings: clip numbers, match categories.
+
+    The edit distance to a short list is an expression: no distinct values, no
+    join. Long lists, and the gestalt similarity, go by distinct values.
+    """
     listed = {c: r.allowed_values for c, r in spec.rules.items() if r.dtype == "categorical" and r.allowed_values}
-    in_place = spec.similarity == "levenshtein"
-    matches = None if in_place else category_matches(findings, spec)
-    if in_place and listed:
-        # Edit distance is an expression: no distinct values, no join, no hot values.
-        found = F.lit(None)
-        for column, allowed in listed.items():
+    inline = [c for c in listed if spec.similarity == "levenshtein" and len(listed[c]) <= INLINE_ENTRIES]
+    matches = category_matches(findings, spec, [c for c in listed if c not in inline])
+    if matches is None:
+        joined = findings.withColumns({"match": F.lit(None).cast("string"), "ratio": F.lit(None).cast("double")})
+    else:
+        joined = _joined_matches(findings, matches)
+    if inline:
+        found = F.struct("match", "ratio")
+        for column in inline:
             here = (F.col("column_name") == column) & (F.col("issue_type") == "invalid")
-            found = F.when(here, nearest_allowed(F.col("current_value"), allowed)).otherwise(found)
-        joined = findings.withColumn("_found", found).select(
+            found = F.when(here, nearest_allowed(F.col("current_value"), listed[column])).otherwise(found)
+        joined = joined.withColumn("_found", found).select(
             *findings.columns, F.col("_found.match").alias("match"), F.col("_found.ratio").alias("ratio")
         )
-    elif matches is None:
-        joined = findings.withColumns({"match": F.lit(None).cast("string"), "ratio": F.lit(None).cast("double")})
-    else:
-        joined = findings.join(
-            matches,
-            (F.col("column_name") == F.col("_column")) & (F.col("current_value") == F.col("_value")),
-            "left",
-        ).drop("_column", "_value")
     out = no_suggestion()
     for column, rule in spec.rules.items():
         if rule.dtype == "numeric":
@@ -160,6 +172,27 @@ def recommend_invalid(findings: DataFrame, spec: QualitySpec) -> DataFrame:
     return _apply(joined, out)
 
 
+def suggest_from_table(rows: DataFrame, column: str, entries: DataFrame, kept: list[str] | None = None) -> DataFrame:
+    """``rows`` whose text is no entry of a table, with ``suggested_value`` and ``confidence``.
+
+    The allowed values are a table of one column, of any length. A text without
+    a close entry gets the least one with the fallback confidence; null cells are
+    no findings.
+    """
+    entries = entries.select(F.col(entries.columns[0]).cast("string").alias("entry")).distinct()
+    packed = rows.select(F.col(f"`{column}`").cast("string").alias("text"), F.struct(*[f"`{c}`" for c in rows.columns]).alias("row"))
+    values = packed.groupBy("text").agg(F.count(F.lit(1)).alias("n")).where("text is not null")
+    odd = cut_lineage(values.join(entries, values["text"] == entries["entry"], "left_anti"), "invalid", kept)
+    close = best_matches(odd.select("text"), entries, SIMILARITY_CUTOFF, kept)
+    matched = cut_lineage(odd.join(close, "text", "left"), "matches", kept)
+    least = F.broadcast(entries.agg(F.min("entry").alias("least")))
+    return join_keyed(packed, matched, "text", "n").crossJoin(least).select(
+        "row.*",
+        F.coalesce("match", "least").alias("suggested_value"),
+        F.coalesce("ratio", F.lit(FALLBACK_CONFIDENCE)).alias("confidence"),
+    )
+
+
 def _apply(findings: DataFrame, suggestion: Column) -> DataFrame:
     """Write a suggestion struct into the three result columns."""
     replaced = ("suggested_value", "suggested_num", "confidence", "match", "ratio")

@@ -66,6 +66,20 @@ SELECT concat('P', p_partkey) AS part_id,
 FROM (SELECT *, 1 + {_PDIGIT.format(i=2)} % 4 AS place FROM {{part}}) AS t
 """
 
+# Labels of parts, most of them with a character dropped, two swapped or a word put in front.
+_LDIGIT = "(instr('0123456789abcdef', substr(md5(concat('label:', p_partkey)), {i}, 1)) - 1)"
+PART_LABEL = "concat(p_name, ' ', p_brand, ' ', p_type)"
+LABEL_SQL = f"""
+SELECT concat('P', p_partkey) AS row_id,
+       CASE {_LDIGIT.format(i=1)} % 5
+         WHEN 0 THEN concat(substr(label, 1, place), substr(label, place + 2, 60))
+         WHEN 1 THEN concat(substr(label, 1, place - 1), substr(label, place + 1, 1),
+                            substr(label, place, 1), substr(label, place + 2, 60))
+         WHEN 2 THEN concat('new ', substr(label, 1, 6 + place), '-', p_partkey)
+         WHEN 3 THEN concat('?', md5(label)) ELSE label END AS label
+FROM (SELECT *, {PART_LABEL} AS label, 1 + {_LDIGIT.format(i=2)} AS place FROM {{part}}) AS t
+"""
+
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
@@ -87,6 +101,15 @@ def typo_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TYPO_SQL, part=table(spark, sf_dir, "part"))
 
 
+def labelled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(LABEL_SQL, part=table(spark, sf_dir, "part"))
+
+
+def part_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All labels that parts may have: thousands."""
+    return table(spark, sf_dir, "part").select(F.expr(PART_LABEL).alias("label")).distinct()
+
+
 def transactions_spec() -> QualitySpec:
     return bank_spec().with_rule("domain", allowed_values=PRIORITIES)
 

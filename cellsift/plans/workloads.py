@@ -336,6 +336,13 @@ def fuzzy_suggest_gestalt(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def fuzzy_suggest_large_list(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of parts against a list of thousands."""
+    parts = t.labelled_parts(spark, d)
+    return recommend.suggest_from_table(parts, "label", t.part_labels(spark, d)).withColumnRenamed("label", "current_value")
+
+
 @query
 def severity_bands(spark: SparkSession, d: str) -> DataFrame:
     """Severity of each seeded anomaly against the value it had before."""

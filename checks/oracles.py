@@ -6,7 +6,9 @@ is plain SQL over all rows, neighbours by comparing every pair.
 
 from __future__ import annotations
 
-from cellsift.plans.tables import PART_TYPES, PRIORITIES, RAW_SQL, TRANSACTIONS_SQL, TYPO_SQL
+from cellsift.plans.tables import (
+    LABEL_SQL, PART_LABEL, PART_TYPES, PRIORITIES, RAW_SQL, TRANSACTIONS_SQL, TYPO_SQL,
+)
 
 
 def _duck(sql: str) -> str:
@@ -304,6 +306,18 @@ SELECT row_id, current_value, CASE WHEN b.ratio >= 0.6 THEN b.allowed ELSE '{PAR
 """
 
 
+_LARGE_LIST = f"""
+WITH labels AS ({_duck(LABEL_SQL)}),
+entries AS (SELECT DISTINCT {_duck(PART_LABEL)} AS entry FROM part),
+invalid AS (SELECT DISTINCT label FROM labels WHERE label NOT IN (SELECT entry FROM entries)),
+scored AS (
+  SELECT label, entry, round(1 - levenshtein(label, entry) / greatest(length(label), length(entry)), 4) AS ratio FROM invalid, entries),
+top AS (SELECT label, max({{'ratio': ratio, 'entry': entry}}) AS b FROM scored GROUP BY label)
+SELECT row_id, label AS current_value, CASE WHEN b.ratio >= 0.6 THEN b.entry ELSE (SELECT min(entry) FROM entries) END AS suggested_value,
+  CASE WHEN b.ratio >= 0.6 THEN b.ratio ELSE 0.5 END::double AS confidence FROM labels JOIN top USING (label)
+"""
+
+
 def _suspects(query_table: str, exclude_self: bool) -> str:
     values = ", ".join(f"c.{x} AS n_{x}" for x in (*_NUMBERS, *_TEXTS))
     numeric = " UNION ALL ".join(
@@ -444,6 +458,7 @@ def statements() -> dict[str, str]:
         "CASE WHEN c_acctbal < 0 THEN 0.0 ELSE 9000.0 END::double AS suggested_num, 1.0::double AS confidence "
         "FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9000",
         "fuzzy_suggest_levenshtein": typo + _LEVENSHTEIN,
+        "fuzzy_suggest_large_list": _LARGE_LIST,
         "severity_bands": _with() + "SELECT row_id, column_name, round(s, 6) AS severity_score, CASE WHEN s >= 1 THEN 'critical' "
         "WHEN s >= 0.5 THEN 'high' WHEN s >= 0.2 THEN 'medium' ELSE 'low' END AS severity FROM (SELECT row_id, column_name, "
         "abs(dirty_num - original_num) / (abs(original_num) + 1) AS s FROM labels_tx WHERE issue_type = 'anomaly')",

@@ -91,6 +91,7 @@ def test_invalid_suggestions(spark):
     got = invalid(
         spark,
         [("low", "-5", "RETIAL"), ("high", "500", "UNKNOWN_DOMAIN"), ("text", "abc", "INVESTMENT"), ("fine", "1", "RETAIL")],
+        SPEC.with_options(similarity="gestalt"),
     )
     ratio = lambda a, b: round(difflib.SequenceMatcher(None, a, b).ratio(), 4)
     assert got == {
