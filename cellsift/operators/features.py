@@ -8,12 +8,13 @@ one-hot distance, a category unknown at fit time is 1 apart from any known one.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellsift.functions import cells
-from cellsift.operators.ranking import exact_quantiles, most_frequent
+from cellsift.operators.ranking import most_frequent, quantiles_and
 from cellsift.spec import QualitySpec
 
 
@@ -75,24 +76,29 @@ class FittedFeatures:
         )
 
 
-def fit_features(df: DataFrame, spec: QualitySpec, rows: int | None = None) -> FittedFeatures:
+def fit_features(df: DataFrame, spec: QualitySpec) -> FittedFeatures:
     """Median, mean and population deviation per number, mode per category.
 
-    Columns without any value are left out, as an imputer would drop them.
+    Columns without any value are left out, as an imputer would drop them. The
+    scan that sketches the medians also takes the moments of the values there
+    are; those of the filled columns follow from them.
     """
     numeric = [c for c in spec.features_of("numeric") if c in df.columns]
     categorical = [c for c in spec.features_of("categorical") if c in df.columns]
     numbers = df.select(*[cells.to_number(F.col(c), df.schema[c].dataType).alias(c) for c in numeric])
-    medians = {c: q[0] for c, q in exact_quantiles(numbers, {c: [0.5] for c in numeric}, rows).items()}
-    numeric = [c for c in numeric if medians[c] is not None]
+    moments = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(numeric):
+        moments += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
+    medians, row = quantiles_and(numbers, {c: [0.5] for c in numeric}, moments)
     stats = {}
-    if numeric:
-        filled = [F.coalesce(F.col(c), F.lit(medians[c])) for c in numeric]
-        row = numbers.agg(
-            *[F.avg(x).alias(f"m{i}") for i, x in enumerate(filled)],
-            *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(filled)],
-        ).first()
-        stats = {c: NumericStats(medians[c], row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(numeric)}
+    for i, c in enumerate(numeric):
+        median = medians[c][0]
+        if median is None:
+            continue
+        n, some, mean, std = row["rows"], row[f"n{i}"], row[f"m{i}"], row[f"s{i}"]
+        filled = (some * mean + (n - some) * median) / n
+        spread = (some * (std * std + (mean - filled) ** 2) + (n - some) * (median - filled) ** 2) / n
+        stats[c] = NumericStats(median, filled, std if some == n else sqrt(spread))
     modes = most_frequent(df, categorical)
     return FittedFeatures(stats, {c: modes[c] for c in categorical if modes[c] is not None})
 

@@ -9,16 +9,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from cellsift.sources.scratch import cut_lineage
 
-# Up to this many rows one exact percentile aggregate is cheap.
-EXACT_ROWS = 2_000_000
 # Rank error of the percentile sketch is at most rows / accuracy.
 SKETCH_ACCURACY = 10_000
+# Half the width of the brackets around a rank, as shares of the rows.
+NARROW, WIDE = 2.0 / SKETCH_ACCURACY, 0.02
+# Values of a bracket that one task puts in order.
+BRACKET_ROWS = 1_000_000
 _POSITION_BITS = 33
 
 
@@ -119,72 +122,131 @@ class _Mark:
         self.open = False
 
 
-def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], rows: int | None = None
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of double columns, exact at any size.
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of double columns, exact at any size; null for a column without values."""
+    return quantiles_and(df, wanted, [])[0]
 
-    Small tables use one percentile aggregate. On large ones a sketch brackets
-    each rank, the bracket is verified by counting and only the values inside
-    it are looked at again. ``rows``, if the caller knows it, spares a count.
+
+def quantiles_and(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], also: Sequence[Column]
+) -> tuple[dict[str, list[float | None]], Row | None]:
+    """``exact_quantiles``, and the row of further aggregates of the first scan.
+
+    All columns and ranks go together, in three scans. The first sketches every
+    column and brackets each rank from both sides, the second counts what lies
+    below and in the brackets, the third reads only values inside them. A bracket
+    that turns out to miss its rank is widened, one that still holds too many
+    rows is sketched again, so a few more scans come with very large tables only.
     """
     columns = list(wanted)
     if not columns:
-        return {}
-    if rows is not None and rows <= EXACT_ROWS:
-        counts = dict.fromkeys(columns, rows)
-    else:
-        head = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-        counts = {c: head[f"n{i}"] for i, c in enumerate(columns)}
-    small = [c for c in columns if counts[c] <= EXACT_ROWS]
+        return {}, df.agg(*also).first() if also else None
+    measures = []
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        marks = [min(1.0, max(0.0, q + s)) for q in wanted[c] for s in (-NARROW, NARROW, -WIDE, WIDE)]
+        sketch = F.percentile_approx(x, marks, SKETCH_ACCURACY)
+        measures += [F.count(x).alias(f"_n{i}"), F.min(x).alias(f"_l{i}"), F.max(x).alias(f"_h{i}"), sketch.alias(f"_q{i}")]
+    head = df.agg(*measures, *also).first()
+    places: dict[tuple[str, float], float] = {}
+    ranks: dict[tuple[str, int], _Rank] = {}
+    for i, c in enumerate(columns):
+        n = head[f"_n{i}"]
+        for k, q in enumerate(wanted[c]):
+            if not n:
+                continue
+            place = places[c, q] = (n - 1) * q
+            narrow, wide = (tuple(head[f"_q{i}"][4 * k + a : 4 * k + a + 2]) for a in (0, 2))
+            whole = (head[f"_l{i}"], head[f"_h{i}"])
+            brackets = [b for b, s in ((narrow, NARROW), (wide, WIDE)) if n * s >= 4] + [whole]
+            for r in {math.floor(place), math.ceil(place)}:
+                ranks.setdefault((c, r), _Rank(c, r, brackets))
+    _find(df, [r for r in ranks.values()])
     out: dict[str, list[float | None]] = {}
-    if small:
-        row = df.agg(
-            *[
-                F.percentile(F.col(c), [float(q) for q in wanted[c]]).alias(f"q{i}")
-                for i, c in enumerate(small)
-            ]
-        ).first()
-        for i, c in enumerate(small):
-            out[c] = list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(wanted[c])
     for c in columns:
-        if c not in out:
-            values = df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull())
-            out[c] = [_quantile(values, counts[c], q) for q in wanted[c]]
-    return out
-
-
-def _quantile(values: DataFrame, n: int, q: float) -> float:
-    place = (n - 1) * q
-    low, high = math.floor(place), math.ceil(place)
-    a = _value_at(values, n, low)
-    return a if high == low else a + (place - low) * (_value_at(values, n, high) - a)
-
-
-def _value_at(values: DataFrame, n: int, rank: int, exact_rows: int | None = None) -> float:
-    """Value at a 0-based rank among n values."""
-    limit = EXACT_ROWS if exact_rows is None else exact_rows
-    slack = 2.0 / SKETCH_ACCURACY
-    x = F.col("x")
-    while n > limit:
-        marks = [max(0.0, rank / n - slack), min(1.0, rank / n + slack)]
-        left, right = values.agg(F.percentile_approx("x", marks, SKETCH_ACCURACY)).first()[0]
-        below, to_left, to_right, up_to = values.agg(
-            F.count_if(x < left), F.count_if(x <= left), F.count_if(x < right), F.count_if(x <= right)
-        ).first()
-        if below <= rank < to_left:
-            return left
-        if to_left <= rank < to_right:
-            values, n, rank = values.filter((x > left) & (x < right)), to_right - to_left, rank - to_left
-        elif to_right <= rank < up_to:
-            return right
+        out[c] = []
+        for q in wanted[c]:
+            place = places.get((c, q))
+            if place is None:
+                out[c].append(None)
+                continue
+            low, high = math.floor(place), math.ceil(place)
+            a, b = ranks[c, low].value, ranks[c, high].value
+            out[c].append(a if high == low else a + (place - low) * (b - a))
+    return out, head
+
+
+class _Rank:
+    """A wanted 0-based rank of a column, the brackets to try, and its value once found."""
+
+    def __init__(self, column: str, rank: int, brackets: list[tuple[float, float]]):
+        self.column, self.rank, self.brackets = column, rank, brackets
+        self.value: float | None = None
+        # Values strictly inside, and the rank among them.
+        self.inside: tuple[int, int] | None = None
+
+    def counts(self) -> list[Column]:
+        x, (left, right) = F.col(self.column).cast("double"), self.brackets[0]
+        return [F.count_if(x < left), F.count_if(x <= left), F.count_if(x < right), F.count_if(x <= right)]
+
+    def judge(self, below: int, to_left: int, to_right: int, up_to: int) -> None:
+        left, right = self.brackets[0]
+        if not below <= self.rank < up_to:
+            self.brackets = self.brackets[1:]
+        elif self.rank < to_left:
+            self.value = left
+        elif self.rank >= to_right:
+            self.value = right
         else:
-            slack *= 2
-    # At most ``limit`` rows are left, fewer once equal values are counted.
-    running = F.sum("count").over(Window.orderBy("x"))
-    return values.groupBy("x").count().select("x", running.alias("seen")).filter(
-        F.col("seen") > rank
-    ).agg(F.min("x")).first()[0]
+            self.inside = (to_right - to_left, self.rank - to_left)
+
+    def within(self) -> Column:
+        x, (left, right) = F.col(self.column).cast("double"), self.brackets[0]
+        return (x > left) & (x < right)
+
+
+def _find(df: DataFrame, ranks: list[_Rank]) -> None:
+    while True:
+        # Two ranks of a column may share a bracket; each is counted, in one scan.
+        unknown = [r for r in ranks if r.value is None and r.inside is None]
+        if unknown:
+            counted = list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(c for r in unknown for c in r.counts())]).first())
+            for k, r in enumerate(unknown):
+                r.judge(*counted[4 * k : 4 * k + 4])
+        large = [r for r in ranks if r.value is None and r.inside and r.inside[0] > BRACKET_ROWS]
+        if large:
+            _narrow(df, large)
+        if not any(r.value is None and r.inside is None for r in ranks):
+            break
+    left = [r for r in ranks if r.value is None]
+    if not left:
+        return
+    # Distinct values of each bracket with their counts: at most BRACKET_ROWS for each rank.
+    hits = F.array_compact(
+        F.array(*[F.when(r.within(), F.struct(F.lit(k).alias("k"), F.col(r.column).cast("double").alias("x"))) for k, r in enumerate(left)])
+    )
+    any_hit = reduce(lambda a, b: a | b, [r.within() for r in left])
+    values = df.where(any_hit).select(F.inline(hits)).groupBy("k", "x").count()
+    seen = F.sum("count").over(Window.partitionBy("k").orderBy("x"))
+    wanted = F.element_at(F.array(*[F.lit(r.inside[1]) for r in left]), F.col("k") + 1)
+    found = values.withColumn("seen", seen).where(F.col("seen") > wanted).groupBy("k").agg(F.min("x").alias("x"))
+    for row in found.collect():
+        left[row["k"]].value = row["x"]
+
+
+def _narrow(df: DataFrame, ranks: list[_Rank]) -> None:
+    """Sketch the inside of brackets that hold too many rows."""
+    sketches = []
+    for k, r in enumerate(ranks):
+        n, rank = r.inside
+        marks = [min(1.0, max(0.0, rank / n + s)) for s in (-NARROW, NARROW, -WIDE, WIDE)]
+        x = F.when(r.within(), F.col(r.column).cast("double"))
+        sketches += [F.percentile_approx(x, marks, SKETCH_ACCURACY).alias(f"q{k}"), F.min(x).alias(f"l{k}"), F.max(x).alias(f"h{k}")]
+    row = df.agg(*sketches).first()
+    for k, r in enumerate(ranks):
+        q = row[f"q{k}"]
+        r.brackets = [(q[0], q[1]), (q[2], q[3]), (row[f"l{k}"], row[f"h{k}"])]
+        r.inside = None
 
 
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:

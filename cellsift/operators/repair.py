@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsift.functions import cells
+from cellsift.operators.bloom import IdFilter, id_key
+from cellsift.sources.scratch import cut_lineage
 from cellsift.spec import QualitySpec, SpecError
 
 MODES = ("conservative", "auto", "approved")
@@ -37,10 +39,12 @@ def apply_fixes(
     mode: str = "conservative",
     approvals: DataFrame | None = None,
     rederive=None,
+    kept: list[str] | None = None,
 ) -> DataFrame:
     """The table with accepted fixes; the last fix of a cell in issue order wins.
 
-    All rows that share an id are changed. Derived columns keep their value
+    All rows that share an id are changed. Only rows that a filter of the repaired
+    ids hits are joined with their fixes, all others pass as they are. Derived columns keep their value
     unless ``rederive``, a function of the table, computes them again.
     """
     fixes = accepted_fixes(issues, spec, mode, approvals).filter("row_id IS NOT NULL")
@@ -51,8 +55,13 @@ def apply_fixes(
             for c in df.columns
         ]
     )
-    key = F.col(spec.id_column).cast("string")
-    joined = df.join(per_row.withColumnRenamed("row_id", "_row"), key == F.col("_row"), "left")
+    # One row for each repaired id, written as the filter and the join both read it.
+    per_row = cut_lineage(per_row.withColumn("_row", id_key(F.col("row_id"))).drop("row_id"), "fixes", kept)
+    repaired = IdFilter(per_row.select("_row"))
+    marked = repaired.marked(df, id_key(F.col(f"`{spec.id_column}`")), "_hit")
+    untouched = marked.filter(~F.col("_hit")).drop("_hit")
+    hit = marked.filter("_hit").drop("_hit")
+    joined = hit.join(per_row, id_key(F.col(f"`{spec.id_column}`")) == F.col("_row"), "left")
     out = []
     for f in df.schema.fields:
         fix = F.col(f"_fix__{f.name}")
@@ -62,7 +71,7 @@ def apply_fixes(
             number = F.coalesce(fix["suggested_num"], fix["suggested_value"].try_cast("double"))
             new = number.try_cast(f.dataType) if _takes_number(f) else F.lit(None).cast(f.dataType)
         out.append(F.coalesce(new, F.col(f"`{f.name}`")).alias(f.name))
-    fixed = joined.select(*out)
+    fixed = untouched.unionByName(joined.select(*out))
     return rederive(fixed) if rederive else fixed
 
 

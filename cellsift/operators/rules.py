@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellsift.functions import cells
+from cellsift.operators.bloom import IdFilter, id_key
+from cellsift.sources.scratch import cut_lineage
 from cellsift.spec import QualitySpec
 
 # Public columns of the issue table, in order.
@@ -280,39 +282,51 @@ def rule_issues(df: DataFrame, spec: QualitySpec, kinds=ALL_KINDS) -> DataFrame:
     return as_issues(explode_findings(with_findings(df, spec, kinds), spec))
 
 
-def _spoiled_ids(rows: DataFrame, spec: QualitySpec) -> DataFrame:
-    """Distinct ids of rows with a finding; equal ids collapse before the shuffle."""
-    key = F.col(spec.id_column).cast("string")
-    return rows.filter(F.col("findings").isNotNull()).select(key.alias("_spoiled")).distinct()
+def _spoiled(rows: DataFrame, spec: QualitySpec, kept: list[str] | None) -> IdFilter:
+    """Distinct ids of rows with a finding, written once, and a filter over them."""
+    ids = rows.filter(F.col("findings").isNotNull()).select(id_key(F.col(f"`{spec.id_column}`")).alias("_spoiled")).distinct()
+    return IdFilter(cut_lineage(ids, "spoiled", kept))
 
 
-def clean_rows(df: DataFrame, spec: QualitySpec) -> DataFrame:
-    """Rows whose id has no finding; every row if there is no such row."""
-    rows = with_findings(df, spec)
-    # Rows that break a rule themselves need no look at the other rows.
-    clean = rows.filter(F.col("findings").isNull()).drop("findings")
-    if not spec.id_is_unique:
-        key = F.col(spec.id_column).cast("string")
-        clean = clean.join(_spoiled_ids(rows, spec), key.eqNullSafe(F.col("_spoiled")), "left_anti")
-    return df if clean.isEmpty() else clean
-
+def clean_rows(df: DataFrame, spec: QualitySpec, kept: list[str] | None = None) -> DataFrame:
+    """Rows whose id has no finding; every row if there is no such row.
 
-def mark_clean(df: DataFrame, spec: QualitySpec) -> DataFrame:
+    Rows that break a rule themselves need no look at others. Of the rest, rows
+    that the filter clears are clean; only those it hits are shuffled for an
+    exact look at their id. ``kept`` collects the path of the ids.
+    """
+    rows = with_findings(df, spec)
+    fine = rows.filter(F.col("findings").isNull()).drop("findings")
+    if spec.id_is_unique:
+        return df if fine.isEmpty() else fine
+    spoiled = _spoiled(rows, spec, kept)
+    key = id_key(F.col(f"`{spec.id_column}`"))
+    marked = spoiled.marked(fine, key, "_hit")
+    surely = marked.filter(~F.col("_hit")).drop("_hit")
+    asked = marked.filter("_hit").drop("_hit").withColumn("_key", key)
+    clean = surely.unionByName(asked.join(spoiled.ids, asked["_key"] == F.col("_spoiled"), "left_anti").drop("_key"))
+    # The first surely clean row settles it, and is found in the first partitions as a rule.
+    return df if surely.isEmpty() and clean.isEmpty() else clean
+
+
+def mark_clean(df: DataFrame, spec: QualitySpec, kept: list[str] | None = None) -> DataFrame:
     """Add ``findings`` and ``is_clean``.
 
     With unique ids a row decides for itself. Otherwise a finding in any row
-    spoils every row that shares the id, null ids included.
+    spoils every row that shares the id, null ids included; only rows that the
+    filter of spoiled ids hits are joined with them.
     """
     rows = with_findings(df, spec)
+    own = F.col("findings").isNull()
     if spec.id_is_unique:
-        return rows.withColumn("is_clean", F.col("findings").isNull())
-    spoiled = _spoiled_ids(rows, spec).withColumn("_hit", F.lit(True))
-    key = F.col(spec.id_column).cast("string")
-    return (
-        rows.join(spoiled, key.eqNullSafe(F.col("_spoiled")), "left")
-        .withColumn("is_clean", F.col("_hit").isNull())
-        .drop("_spoiled", "_hit")
-    )
+        return rows.withColumn("is_clean", own)
+    spoiled = _spoiled(rows, spec, kept)
+    key = id_key(F.col(f"`{spec.id_column}`"))
+    marked = spoiled.marked(rows, key, "_hit")
+    settled = marked.filter(~F.col("_hit") | ~own).withColumn("is_clean", own).drop("_hit")
+    asked = marked.filter(F.col("_hit") & own).drop("_hit").withColumn("_key", key)
+    joined = asked.join(spoiled.ids, asked["_key"] == F.col("_spoiled"), "left")
+    return settled.unionByName(joined.withColumn("is_clean", F.col("_spoiled").isNull()).drop("_key", "_spoiled"))
 
 
 def in_issue_order(issues: DataFrame) -> DataFrame:

@@ -98,21 +98,19 @@ def score_rows(
     held: list = []
     # Findings and the clean flag are row facts; only ruled columns are kept.
     columns = [c for c in spec.ruled_columns if c in table.columns]
-    marked = coerce_types(rules.mark_clean(table.select(*columns), spec), spec)
+    marked = coerce_types(rules.mark_clean(table.select(*columns), spec, kept), spec)
     marked, total, clean_rows = _spread(marked.persist(_DISK), held)
     if not clean_rows:
         marked, clean_rows = marked.withColumn("is_clean", F.lit(True)), total
     clean = marked.filter("is_clean")
 
-    features = fit_features(clean, spec, clean_rows)
+    features = fit_features(clean, spec)
     model = forest.fit_forest(clean, features, spec, clean_rows)
     # Scores are dear: they are written, so no lost executor makes them anew.
     scored = cut_lineage(marked.withColumn("raw_score", model.raw_score(marked)), "scored", kept)
     for df in held:
         df.unpersist()
-    offset = forest.score_offset(
-        scored.filter("is_clean").select("raw_score"), spec.contamination, rows=clean_rows
-    )
+    offset = forest.score_offset(scored.filter("is_clean").select("raw_score"), spec.contamination)
     return forest.with_decision(scored, offset), features, model.with_offset(offset)
 
 

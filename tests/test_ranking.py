@@ -66,7 +66,9 @@ def test_equal_hashes_stay_together(spark):
 
 @pytest.mark.parametrize("kind", ["smooth", "hot", "tails"])
 def test_large_quantiles_equal_numpy(spark, monkeypatch, kind):
-    monkeypatch.setattr(ranking, "EXACT_ROWS", 50)
+    # Small brackets of a coarse sketch, so that every step of the search is taken.
+    monkeypatch.setattr(ranking, "BRACKET_ROWS", 50)
+    monkeypatch.setattr(ranking, "SKETCH_ACCURACY", 200)
     rng = np.random.default_rng(3)
     if kind == "smooth":
         x = rng.normal(size=5000)
@@ -78,8 +80,29 @@ def test_large_quantiles_equal_numpy(spark, monkeypatch, kind):
     wanted = [0.0, 0.08, 0.45, 0.5, 0.52, 1.0]
     got = ranking.exact_quantiles(df, {"x": wanted})["x"]
     assert np.allclose(got, np.quantile(x, wanted), atol=1e-12)
-    small = ranking.exact_quantiles(df, {"x": wanted}, rows=10)["x"]
-    assert np.allclose(small, got, atol=1e-12)
+
+
+@pytest.mark.parametrize("rows", [1, 2, 7, 300, 5000, 60_000])
+def test_quantiles_take_three_scans(spark, monkeypatch, rows):
+    rng = np.random.default_rng(rows)
+    x, y = rng.normal(size=rows), np.round(rng.exponential(size=rows), 1)
+    kept = rng.random(rows) < 0.8
+    data = [(float(a), float(b) if k else None, None) for a, b, k in zip(x, y, kept)]
+    df = spark.createDataFrame(data, "x double, y double, z double").repartition(3).cache()
+    scans = []
+    for action in ("first", "collect"):
+        real = getattr(type(df), action)
+        monkeypatch.setattr(type(df), action, lambda self, *a, real=real: scans.append(1) or real(self, *a))
+    wanted = [0.0, 0.08, 0.5, 0.999, 1.0]
+    got = ranking.exact_quantiles(df, {"x": wanted, "y": wanted, "z": [0.5]})
+    monkeypatch.undo()
+    assert np.allclose(got["x"], np.quantile(x, wanted), atol=1e-12)
+    assert got["z"] == [None]
+    if kept.any():
+        assert np.allclose(got["y"], np.quantile(y[kept], wanted), atol=1e-12)
+    # ``first`` collects too: at most two calls for each of the first two scans.
+    assert len(scans) <= 5 + 2
+    df.unpersist()
 
 
 def test_most_frequent_prefers_the_smaller(spark):
