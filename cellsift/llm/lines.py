@@ -34,6 +34,9 @@ MOST_BITS = 1 << 30
 #: Filters are merged and sent in segments of so many bits.
 SEGMENT_BITS = 1 << 16
 
+#: Texts worked on at once, in bytes; a longer one is worked on alone.
+SLICE_BYTES = 512 << 10
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -112,7 +115,7 @@ def _fill(bits: int):
         once, twice = (np.zeros(bits >> 3, dtype=np.uint8) for _ in range(2))
         for batch in batches:
             column = batch.column(0)
-            for begin, end in slices(column):
+            for begin, end in slices(column, SLICE_BYTES):
                 lines = find_lines(column.slice(begin, end - begin))
                 at, value = _hashes(lines)
                 # A line that a text repeats counts once.
@@ -193,7 +196,7 @@ def _suspects(filter_: Repeats, keys: bool):
     def probe(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for ids, column in columns:
             parts = []
-            for begin, end in slices(column):
+            for begin, end in slices(column, SLICE_BYTES):
                 text = column.slice(begin, end - begin)
                 lines = find_lines(text)
                 at, value = _hashes(lines)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellsift.llm.words import mix, slices, span_hashes
+from cellsift.llm.words import mix, slices, span_hashes, told_apart
 
 #: Bytes of text whose symbols lie in arrays at once; a task holds some 100 bytes for each.
 SLICE_BYTES = 1 << 20
@@ -228,7 +228,7 @@ class Encoder:
         cut[offsets[:-1][sizes > 0]] = True
         begin = np.flatnonzero(cut)
         end = np.append(begin[1:], len(points))
-        name = span_hashes(points, begin, end)
+        name = told_apart(points, begin, end, span_hashes(points, begin, end))
         name, first, word = np.unique(name, return_index=True, return_inverse=True)
         begin_u, length = begin[first], (end - begin)[first]
         starts = np.concatenate([[0], np.cumsum(length)])

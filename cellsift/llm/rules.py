@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellsift.llm.words import _SPACE, Words, find_words, mix, slices, text_buffer, windows
+from cellsift.llm.words import _SPACE, Words, find_words, mix, slices, text_buffer, windows, told_apart
 
 #: Labelled documents to learn from, at most about this many; a documented bound.
 LABELLED_ROWS = 20_000
@@ -75,6 +75,7 @@ def duplicate_lines(text: str | None) -> int:
 def text_statistics(column: pa.Array) -> dict[str, np.ndarray]:
     """The base statistics of the texts of one slice."""
     words = find_words(column)
+    words = words._replace(hash=told_apart(words.data, words.start, words.end, words.hash))
     data, offsets = text_buffer(column)
     return {
         "n_words": np.bincount(words.doc, minlength=words.docs),

@@ -6,6 +6,7 @@ text longer than a slice is a slice of its own, so texts are never cut.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -22,7 +23,9 @@ SHINGLE = 5
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Two primes below 2**31, and the base of a polynomial modulo each.
+_PRIMES = (2147483647, 2147483629)
+_BASES = (1_640_531_527, 1_181_783_497)
 _STEPS = np.array(
     [0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB],
     dtype=np.uint64,
@@ -75,24 +78,83 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -
         yield begin, len(size)
 
 
+def _power_table(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(n, dtype=np.uint32)
+    done = 1
+    while done < n:
+        upto = min(n, 2 * done)
+        out[done:upto] = out[: upto - done].astype(np.uint64) * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done = upto
+    return out
+
+
 @lru_cache(maxsize=3)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(bits: int) -> list[tuple[np.uint64, np.ndarray, np.ndarray]]:
+    """Each prime with the powers of its base and of the base's inverse."""
     n = 1 << bits
-    with np.errstate(over="ignore"):
-        base = np.full(n, _BASE)
-        base[0] = 1
-        inverse = np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64)))
-        inverse[0] = 1
-        return np.cumprod(base, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
+    return [(np.uint64(p), _power_table(b, p, n), _power_table(pow(b, -1, p), p, n)) for p, b in zip(_PRIMES, _BASES)]
 
 
 def span_hashes(units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of each span of ``units``, the same wherever the span lies."""
-    power, inverse = _powers(max(21, (len(units) - 1).bit_length()))
-    sums = np.zeros(len(units) + 1, dtype=np.uint64)
-    np.cumsum((units.astype(np.uint64) + np.uint64(1)) * power[: len(units)], out=sums[1:])
-    value = (sums[end] - sums[start]) * inverse[start]
-    return mix(value + (end - start).astype(np.uint64) * _STEPS[0])
+    """A hash of each span of ``units``, the same wherever the span lies.
+
+    Polynomials modulo two primes of 31 bits: modulo a power of two, long spans
+    of two letters in the Thue-Morse order would all collide.
+    """
+    powers = _powers(max(21, (len(units) - 1).bit_length()))
+    value = (end - start).astype(np.uint64) * _STEPS[0]
+    wide = units.astype(np.uint64) + np.uint64(1)
+    small = units.dtype == np.uint8 and len(units) <= 1 << 24
+    for k, (prime, power, inverse) in enumerate(powers):
+        terms = wide * power[: len(units)]
+        if not small:
+            terms %= prime
+        sums = np.zeros(len(units) + 1, dtype=np.uint64)
+        np.cumsum(terms, out=sums[1:])
+        part = (sums[end] - sums[start]) % prime * inverse[start] % prime
+        value += part << np.uint64(31 * k)
+    return mix(value)
+
+
+def told_apart(units: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The hashes of spans, with equal ones only for equal spans.
+
+    Spans that share a hash are compared unit by unit with the first of them;
+    those that differ get a hash of their bytes by BLAKE2b, wherever they lie.
+    """
+    while len(value):
+        order = np.argsort(value, kind="stable")
+        same = np.concatenate([[False], value[order][1:] == value[order][:-1]])
+        if not same.any():
+            break
+        lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+        other, first = order[same], lead[same]
+        unlike = _unlike(units, start[other], end[other], start[first], end[first])
+        if not unlike.any():
+            break
+        value = value.copy()
+        # All spans with a hash that does not tell them apart, so that order does not matter.
+        for i in np.flatnonzero(np.isin(value, value[other[unlike]])).tolist():
+            digest = hashlib.blake2b(units[start[i] : end[i]].tobytes(), digest_size=8).digest()
+            value[i] = np.uint64(int.from_bytes(digest, "little"))
+    return value
+
+
+def _unlike(units, start, end, other, other_end) -> np.ndarray:
+    """Whether spans differ from others, which are as many."""
+    size = end - start
+    out = size != other_end - other
+    some = np.flatnonzero(~out & (start != other) & (size > 0))
+    step = 1 << 16
+    # In runs of bounded size; a longer span is a run of its own.
+    run = np.cumsum(size[some]) // step
+    for k in np.unique(run):
+        at = some[run == k]
+        n = size[at]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        differs = units[np.repeat(start[at], n) + place] != units[np.repeat(other[at], n) + place]
+        out[at] = np.add.reduceat(differs, np.cumsum(n) - n) > 0
+    return out
 
 
 def find_words(column: pa.Array) -> Words:
