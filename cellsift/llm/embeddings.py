@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsift.llm.components import components, join_labels
+from cellsift.operators.keyed import join_keyed
 from cellsift.sources.scratch import cut_lineage
 
 COSINE = 0.98
@@ -34,7 +35,7 @@ BLOCK_ROWS = 4096
 CHUNK_ROWS = 20_000
 
 GROUP = ["label", "dim"]
-ASSIGNED = "label long, dim int, cell int, home boolean, rep long, copies long, embedding array<double>"
+ASSIGNED = "label string, dim int, cell int, home boolean, rep long, copies long, embedding array<double>"
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -113,7 +114,7 @@ def _join(cosine: float):
             links += np.bincount(j, copies[i], len(rep)).astype(np.int64)
             parent = join_labels(parent, i, j)
         some = np.flatnonzero(links)
-        # The root of a set is its least position; rows come in the order of their ids.
+        # The root of a set is its least position.
         return pa.table({"a": rep[some], "b": rep[parent[some]], "n": links[some]})
 
     return join
@@ -135,11 +136,12 @@ def near_duplicates(
     components, and those without a label, link with nothing and are their own
     component. A null ``vec_id`` is counted by others but is no component's id:
     a component of such rows only has a null id and keeps none of them. Rows that
-    repeat a ``vec_id`` count as vectors of their own in ``n_links``.
+    repeat a ``vec_id`` count as vectors of their own in ``n_links``, each with the
+    links of its own vector; labels of any type are compared by their text.
     """
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("label").cast("long").alias("label"),
+        F.col("label").cast("string").alias("label"),
         F.col("embedding").cast("array<double>").alias("embedding"),
     )
     rows = rows.withColumn("usable", _usable())
@@ -152,9 +154,8 @@ def near_duplicates(
         F.first("label").alias("label"),
         F.first("embedding").alias("embedding"),
     )
-    # Numbers of their own in the order of vec_id would need a sort; ids with null last serve.
-    reps = reps.withColumn("rep", F.coalesce("vec_id", F.lit((1 << 63) - 1) - F.abs(F.col("k1") % (1 << 40))))
-    reps = reps.withColumn("dim", F.size("embedding"))
+    # A number of its own for each vector, fixed once it is written: an id may stand for several.
+    reps = reps.withColumns({"rep": F.monotonically_increasing_id(), "dim": F.size("embedding")})
     reps = cut_lineage(reps, "vectors", kept)
 
     sizes = reps.groupBy(*GROUP).agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep"), "rep")).alias("least"))
@@ -214,14 +215,18 @@ def near_duplicates(
     found = cut_lineage(found, "links", kept)
     roots = components(found.select("a", "b"), kept)
     links = found.groupBy("a").agg(F.sum("n").alias("n"))
-    reps = reps.select("k1", "k2", "rep", "copies")
+    reps = reps.select("k1", "k2", "rep", "vec_id", "copies")
     reps = reps.join(links, reps["rep"] == links["a"], "left").join(roots, F.col("rep") == roots["id"], "left")
     reps = reps.select(
-        "k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("root", "rep").alias("root")
+        "k1", "k2", "vec_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("root", "rep").alias("root")
     )
-    last = (1 << 63) - 1 - (1 << 40)
+    reps = cut_lineage(reps, "linked", kept)
+    # The least id of a component; it may hold any share of the vectors.
+    named = reps.groupBy("root").agg(F.min("vec_id").alias("component_id"), F.count("*").alias("size"))
+    named = cut_lineage(named, "components", kept)
+    reps = join_keyed(reps, named, "root", "size").select("k1", "k2", "n", "component_id")
     out = usable.select("vec_id", "k1", "k2").join(reps, ["k1", "k2"])
-    out = out.select("vec_id", F.col("n").alias("n_links"), F.when(F.col("root") <= last, F.col("root")).alias("component_id"))
+    out = out.select("vec_id", F.col("n").alias("n_links"), "component_id")
     rest = rows.where("not usable").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )

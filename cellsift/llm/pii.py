@@ -277,38 +277,40 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def redacted(text: Column) -> Column:
-    """The text with each accepted match replaced by its kind, as in ``[EMAIL]``; null stays null."""
-
-    def without(text: Column, kind: Kind) -> Column:
-        def join(parts: Column, matches: Column) -> Column:
-            judged = _judged(kind, parts, matches)
-            shown = F.transform(
-                judged, lambda m: F.when(m["score"] > 0, F.lit(f"[{kind.name.upper()}]")).otherwise(m["match"])
-            )
-            return F.concat(F.array_join(F.zip_with(F.slice(parts, F.lit(1), F.size(matches)), shown, lambda a, b: F.concat(a, b)), ""), F.element_at(parts, -1))
+def _cut(text: Column, spans: Column) -> Column:
+    """The text with the name of its kind in place of each span; spans that overlap are one, named by the first."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].cast("int").alias("a"), s["end"].cast("int").alias("z"), s["kind"].alias("kind"))))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-        def within(t: Column) -> Column:
-            return let(
-                F.regexp_extract_all(t, F.lit(kind.java), F.lit(0)),
-                lambda m: F.when(F.size(m) > 0, let(F.split(t, kind.java, -1), lambda p: join(p, m))).otherwise(t),
-            )
+    def step(done: Column, s: Column) -> Column:
+        between = F.substring(text, done["at"] + 1, s["a"] - done["at"])
+        name = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        more = F.when(s["a"] >= done["at"], F.concat(done["parts"], F.array(between, name))).otherwise(done["parts"])
+        return F.struct(F.greatest(done["at"], s["z"]).alias("at"), more.alias("parts"))
 
-        return let(text, within)
+    def finish(done: Column) -> Column:
+        return F.concat(F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text)))
 
-    out = text.cast("string")
-    for kind in KINDS:
-        out = without(out, kind)
-    return out
+    return F.aggregate(ordered, zero, step, finish)
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` redacted; rows and columns stay, ``n_chars`` follows the text if there."""
-    out = docs.withColumn("text", redacted(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = ~F.col("text").eqNullSafe(F.col("_old"))
-        out = docs.withColumn("_old", F.col("text")).withColumn("text", redacted(F.col("text")))
-        length = F.when(changed, F.length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", length.cast(kind)).drop("_old")
-    return out
+    """``docs`` with the spans of ``find`` replaced by their kind, as in ``[EMAIL]``.
+
+    Rows and columns stay, whatever their names; a null text stays null, and
+    ``n_chars``, if there, follows a text that changed.
+    """
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text"))
+    rows = find(packed, ["_row"]).withColumn("_spans", F.concat("base", "added"))
+    text = F.col("_row.text").cast("string")
+    new = F.when(F.size("_spans") > 0, _cut(text, F.col("_spans"))).otherwise(text)
+    rows = rows.withColumn("_new", new)
+    out = []
+    for c in docs.columns:
+        old = F.col("_row")[c]
+        if c == "text":
+            old = F.col("_new")
+        elif c == "n_chars":
+            old = F.when(F.size("_spans") > 0, F.length("_new").cast(docs.schema[c].dataType)).otherwise(old)
+        out.append(old.alias(c))
+    return rows.select(*out)

@@ -245,5 +245,7 @@ def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` that are not rejected; columns are unchanged."""
-    return score(docs, model).where(F.col("_quality.both") >= threshold).drop("_quality")
+    """Rows of ``docs`` that are not rejected; columns are unchanged, whatever their names."""
+    read = [c for c in ("text", "source", "lang", "n_chars") if c in docs.columns]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *read)
+    return score(packed, model, "_quality").where(F.col("_quality.both") >= threshold).select("_row.*")
