@@ -28,7 +28,7 @@ class DetectionRun:
     issues: DataFrame
     scores: DataFrame
     features: FittedFeatures
-    model: forest.IsolationForest
+    model: forest.IsolationForest | None
     spec: QualitySpec
     _held: list[DataFrame] = field(default_factory=list)
     _kept: list[str] = field(default_factory=list)
@@ -62,20 +62,23 @@ Recommender = Callable[[DataFrame, QualitySpec], DataFrame]
 
 
 def run_detection(
-    df: DataFrame, spec: QualitySpec, coerce: str = "before", recommenders: Sequence[Recommender] = ()
+    df: DataFrame, spec: QualitySpec, coerce: str = "before", recommenders: Sequence[Recommender] = (),
+    given_score: str | None = None,
 ) -> DetectionRun:
     """Find every issue of a table and suggest a repair for each.
 
     ``coerce='before'`` turns unreadable numbers and dates into gaps before the
     rules look; ``'after'`` lets the rules see the raw text. ``recommenders``
     run after the built-in ones and may replace their suggestions.
+    ``given_score``, a SQL expression over ruled columns, takes the place of the
+    forest's score: lower is odder, and the cut is found in the same way.
     """
     if coerce not in ("before", "after"):
         raise ValueError("coerce must be 'before' or 'after'")
     spec.require_columns(df.columns)
     table = coerce_types(df, spec) if coerce == "before" else df
     kept: list[str] = []
-    judged, features, model = score_rows(table, spec, kept)
+    judged, features, model = score_rows(table, spec, kept, given_score)
     clean = judged.filter("is_clean")
     near, odd = _rows_with_neighbours(judged, clean, features, spec, kept)
     findings = _all_findings(judged, near, odd, spec)
@@ -89,11 +92,12 @@ def run_detection(
 
 
 def score_rows(
-    table: DataFrame, spec: QualitySpec, kept: list[str] | None = None
-) -> tuple[DataFrame, FittedFeatures, forest.IsolationForest]:
+    table: DataFrame, spec: QualitySpec, kept: list[str] | None = None, given_score: str | None = None
+) -> tuple[DataFrame, FittedFeatures, forest.IsolationForest | None]:
     """Ruled columns with findings, clean flag, scores and anomaly label of every row.
 
     Features and forest are fitted on the clean rows, or on all if none is clean.
+    With ``given_score`` no forest is grown; rows whose score is null are no anomalies.
     """
     held: list = []
     # Findings and the clean flag are row facts; only ruled columns are kept.
@@ -105,13 +109,14 @@ def score_rows(
     clean = marked.filter("is_clean")
 
     features = fit_features(clean, spec)
-    model = forest.fit_forest(clean, features, spec, clean_rows)
+    model = None if given_score else forest.fit_forest(clean, features, spec, clean_rows)
+    raw = F.expr(given_score).cast("double") if given_score else model.raw_score(marked)
     # Scores are dear: they are written, so no lost executor makes them anew.
-    scored = cut_lineage(marked.withColumn("raw_score", model.raw_score(marked)), "scored", kept)
+    scored = cut_lineage(marked.withColumn("raw_score", raw), "scored", kept)
     for df in held:
         df.unpersist()
     offset = forest.score_offset(scored.filter("is_clean").select("raw_score"), spec.contamination)
-    return forest.with_decision(scored, offset), features, model.with_offset(offset)
+    return forest.with_decision(scored, offset), features, model and model.with_offset(offset)
 
 
 # Below this many rows a table may sit in fewer partitions than there are cores.

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellsift.functions import cells
@@ -108,10 +108,10 @@ def missing_issues(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def invalid_type_issues(spark: SparkSession, d: str) -> DataFrame:
-    """Raw text against the rules: numbers and dates that cannot be read."""
+    """Raw text against the rules: numbers and dates that cannot be read, values that are not allowed."""
     raw = normalize.rename_present(t.raw_transactions(spark, d), normalize.BANK_COLUMNS)
     issues = rules.rule_issues(raw, t.transactions_spec(), ("invalid",))
-    return issues.filter(F.col("column_name").isin("date", "value")).select(*ISSUE_VIEW, "current_value")
+    return issues.select(*ISSUE_VIEW, "current_value")
 
 
 @query
@@ -408,6 +408,93 @@ def full_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.evaluation_report(t.seed_labels(spark, d), run.issues)
 
 
+# Whole runs on given scores --------------------------------------------------------
+def _run(spark: SparkSession, d: str, neighbours: str = "exclude_self") -> pipeline.DetectionRun:
+    spec = t.transactions_spec().with_options(neighbours=neighbours)
+    return pipeline.run_detection(t.dirty_transactions(spark, d), spec, given_score=t.GIVEN_SCORE)
+
+
+def _run_view(issues: DataFrame) -> DataFrame:
+    """Issues with their suggestions; numbers as numbers, other suggestions as text."""
+    return issues.select(
+        *[c for c in ISSUE_VIEW if c != "severity_score"], F.round("severity_score", 6).alias("severity_score"),
+        "current_num", "suggested_num",
+        F.when(F.col("suggested_num").isNull(), F.col("suggested_value")).alias("suggested_text"),
+    )
+
+
+@query
+def run_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every row with its decision, the anomalous ones with their values as well."""
+    run = _run(spark, d)
+    odd = run.table.withColumn("row_id", F.col("transaction_id")).select("row_id", "domain", "value", "transaction_count")
+    kept = run.scores.select("row_id", F.round("decision_score", 6).alias("decision_score"), "is_anomaly")
+    # The row of an anomaly is looked up by its id; other rows carry their score only.
+    rows = kept.filter("is_anomaly = 1").join(odd, "row_id", "left")
+    rest = kept.filter("is_anomaly = 0")
+    return rows.unionByName(rest, allowMissingColumns=True)
+
+
+@query
+def run_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Missing, invalid and anomalous cells with the suggestion for each."""
+    return _run_view(_run(spark, d).issues)
+
+
+@query
+def run_issues_reference(spark: SparkSession, d: str) -> DataFrame:
+    """The same where a row counts among its own neighbours."""
+    return _run_view(_run(spark, d, "reference").issues)
+
+
+@query
+def run_issues_left_out(spark: SparkSession, d: str) -> DataFrame:
+    """The same where each column is judged by neighbours found without it."""
+    return _run_view(_run(spark, d, "leave_one_feature_out").issues)
+
+
+@query
+def run_issue_order(spark: SparkSession, d: str) -> DataFrame:
+    """The id of each issue, its cell as text, and its place among the issues of its row."""
+    by_row = Window.partitionBy("row_id").orderBy("issue_seq")
+    return _run(spark, d).issues.select(
+        "row_id", "column_name", "issue_type", "current_value", "issue_id", F.row_number().over(by_row).alias("place")
+    )
+
+
+@query
+def run_summary(spark: SparkSession, d: str) -> DataFrame:
+    return _run(spark, d).summary()
+
+
+@query
+def run_profile(spark: SparkSession, d: str) -> DataFrame:
+    return _run(spark, d).profile()
+
+
+@query
+def run_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    return _run(spark, d).recommendations().drop("issue_id", "current_value")
+
+
+@query
+def run_evaluation(spark: SparkSession, d: str) -> DataFrame:
+    """All findings against the seeded faults."""
+    return evaluate.evaluation_report(t.seed_labels(spark, d), _run(spark, d).issues)
+
+
+@query
+def fix_conservative_all(spark: SparkSession, d: str) -> DataFrame:
+    """Sure suggestions for missing, invalid and anomalous cells, written back."""
+    return _run(spark, d).fixed("conservative")
+
+
+@query
+def fix_auto_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every suggestion for missing, invalid and anomalous cells, written back."""
+    return _run(spark, d).fixed("auto")
+
+
 # Repair ------------------------------------------------------------------------
 def _fixed(spark: SparkSession, d: str, mode: str, approvals=None) -> DataFrame:
     dirty, spec = t.dirty_transactions(spark, d), _levenshtein_spec()

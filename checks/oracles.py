@@ -7,7 +7,7 @@ is plain SQL over all rows, neighbours by comparing every pair.
 from __future__ import annotations
 
 from cellsift.plans.tables import (
-    LABEL_SQL, PART_LABEL, PART_TYPES, PRIORITIES, RAW_SQL, TRANSACTIONS_SQL, TYPO_SQL,
+    GIVEN_SCORE, LABEL_SQL, PART_LABEL, PART_TYPES, PRIORITIES, RAW_SQL, TRANSACTIONS_SQL, TYPO_SQL,
 )
 
 
@@ -371,6 +371,119 @@ def _neighbour_suggestions() -> str:
     )
 
 
+# Whole runs on given scores. One row per wanted row and column: the cell, whether
+# it stands out from the neighbours, and what they suggest.
+def _run(exclude_self: bool = True, left_out: bool = False) -> str:
+    values = ", ".join(f"c.{x} AS n_{x}" for x in (*_NUMBERS, *_TEXTS))
+    numeric = ", ".join(
+        f"min(n_{c}) AS lo_{c}, max(n_{c}) AS hi_{c}, avg(n_{c}) AS mean_{c}, stddev_pop(n_{c}) AS std_{c}, "
+        f"count(n_{c}) AS cnt_{c}, median(n_{c}) AS med_{c}"
+        for c in _NUMBERS
+    )
+    modes = ", ".join(
+        f"list(n_{c}) AS l_{c}, list_sort(list_transform(list_distinct(list(n_{c})), lambda x:"
+        f" {{'neg': -len(list_filter(list(n_{c}), lambda y: y = x)), 'v': x}}))[1].v AS mode_{c}"
+        for c in _TEXTS
+    )
+    current = ", ".join(f"any_value(q.{c}) AS cur_{c}" for c in (*_NUMBERS, *_TEXTS))
+
+    def odd(c: str) -> str:
+        if c in _TEXTS:
+            return f"cur_{c} IS NULL OR coalesce(cur_{c} <> mode_{c}, false)"
+        far = f"CASE WHEN lo_{c} = hi_{c} THEN cur_{c} <> lo_{c} ELSE abs((cur_{c} - mean_{c}) / std_{c}) >= 2.5 END"
+        return f"cur_{c} IS NULL OR (cnt_{c} >= 2 AND coalesce({far}, false))"
+
+    def judged(near: str, name: str) -> str:
+        return (
+            f"{name}_values AS (SELECT row_id, {values} FROM {near} JOIN clean AS c ON c.transaction_id = n.k),\n"
+            f"{name} AS (SELECT row_id, {numeric}, {modes}, {current} FROM {name}_values "
+            f"JOIN wanted AS q ON q.transaction_id = row_id GROUP BY row_id)"
+        )
+
+    cells = [
+        f"SELECT row_id, '{c}' AS column_name, cur_{c}::double AS current_num, NULL::varchar AS current_text, "
+        f"round(med_{c}::varchar::decimal(38, 15), 2)::double AS num, NULL::varchar AS text, CASE WHEN mean_{c} = 0 THEN 0.5 "
+        f"WHEN lo_{c} = hi_{c} THEN 1.0 ELSE round(1 / (1 + std_{c} / abs(mean_{c})), 4) END::double AS sure, {odd(c)} AS odd FROM judged"
+        for c in _NUMBERS
+    ] + [
+        f"SELECT row_id, '{c}', NULL, cur_{c}, NULL, mode_{c}, "
+        f"round(len(list_filter(l_{c}, lambda y: y = mode_{c})) / len(l_{c}), 4), {odd(c)} FROM judged"
+        for c in _TEXTS
+    ]
+    odd_cells = "odd_cells AS (SELECT row_id, column_name FROM cells WHERE odd)"
+    searches: list[str] = [_pairs(_NUMBERS, _TEXTS, exclude_self)]
+    if left_out:
+        # One search per column, without it, and without those it is computed from or with.
+        found = []
+        for c in (*_NUMBERS, *_TEXTS):
+            gone = {
+                "value": ("value", "avg_transaction_value"),
+                "transaction_count": ("transaction_count", "avg_transaction_value"),
+                "avg_transaction_value": _NUMBERS,
+            }.get(c, (c,))
+            own = _pairs([x for x in _NUMBERS if x not in gone], [x for x in _TEXTS if x not in gone], True)
+            searches.append(own.replace("best", f"best_{c}").replace("pairs AS", f"pairs_{c} AS"))
+            searches.append(judged(f"pairs_{c}", f"judged_{c}"))
+            found.append(f"SELECT row_id, '{c}' AS column_name FROM judged_{c} WHERE {odd(c)}")
+        odd_cells = "odd_cells AS (" + " UNION ALL ".join(found) + ")"
+    score = "CASE WHEN num IS NULL THEN 0.5 ELSE abs(current_num - num) / (abs(num) + 1) END"
+    return _with(
+        *_KNN_BASE,
+        f"scored AS (SELECT transaction_id AS row_id, {GIVEN_SCORE} - (SELECT quantile_cont({GIVEN_SCORE}, 0.08) FROM clean) AS d FROM dirty)",
+        "wanted AS (SELECT * FROM dirty WHERE transaction_id IN (SELECT row_id FROM scored WHERE d < 0) "
+        "OR transaction_id IN (SELECT row_id FROM issues WHERE issue_type = 'missing'))",
+        _features("wanted", "q_f"), _known("q_f"), *searches, judged("pairs", "judged"),
+        "cells AS (" + " UNION ALL ".join(cells) + ")", odd_cells, _FIXES,
+        f"""
+rated AS (SELECT *, {score} AS score FROM cells JOIN odd_cells USING (row_id, column_name) JOIN scored USING (row_id) WHERE d < 0),
+found AS (
+  SELECT i.row_id, i.column_name, i.issue_type, i.severity, i.severity_score, i.reason, i.source_method, sure AS confidence, true AS can_auto_fix,
+    NULL::double AS current_num, NULL::varchar AS current_text, num AS suggested_num, text AS suggested_text, 1 AS stage
+  FROM issues AS i JOIN cells USING (row_id, column_name) WHERE i.issue_type = 'missing'
+  UNION ALL
+  SELECT i.row_id, i.column_name, i.issue_type, i.severity, i.severity_score, i.reason, i.source_method, f.confidence, true,
+    i.current_num, i.current_value, f.suggested_num, CASE WHEN f.suggested_num IS NULL THEN f.suggested_value END,
+    CASE WHEN i.source_method = 'cross_field_rule' THEN 3 ELSE 2 END
+  FROM issues AS i JOIN fixes AS f ON f.row_id = i.row_id AND f.column_name = i.column_name AND f.reason = i.reason
+  WHERE i.issue_type = 'invalid'
+  UNION ALL
+  SELECT row_id, column_name, 'anomaly', CASE WHEN score >= 1 THEN 'critical' WHEN score >= 0.5 THEN 'high' WHEN score >= 0.2 THEN 'medium' ELSE 'low' END,
+    score, 'Column ''' || column_name || ''' deviates from similar normal records.', 'isolation_forest+feature_contribution',
+    least(sure, round(least(1.0, abs(d) * 5), 4)), true, current_num, current_text, num, text, 4
+  FROM rated)""",
+    )
+
+
+_RUN_VIEW = (
+    "SELECT row_id, column_name, issue_type, severity, round(severity_score, 6) AS severity_score, reason, source_method, "
+    "confidence, can_auto_fix, current_num, suggested_num, suggested_text FROM found"
+)
+
+
+def _run_fixed(where: str) -> str:
+    """The last accepted suggestion of each cell, written into its row."""
+    last = (
+        "last AS (SELECT row_id, column_name, arg_max(suggested_num, stage) AS num, arg_max(suggested_text, stage) AS text "
+        f"FROM found WHERE (suggested_num IS NOT NULL OR suggested_text IS NOT NULL) AND {where} GROUP BY row_id, column_name)"
+    )
+    new = {c: f"(SELECT {'text' if c in _TEXTS else 'num'} FROM last WHERE row_id = transaction_id AND column_name = '{c}')"
+           for c in (*_TEXTS, *_NUMBERS)}
+    changed = ", ".join(f"coalesce({v}, {c}) AS {c}" for c, v in new.items())
+    return f"{_run().rstrip()}, {last} SELECT transaction_id, date, {changed} FROM dirty"
+
+
+def _issue_order() -> str:
+    # The key of an issue is JSON without null entries.
+    place = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(("transaction_id", "date", *_TEXTS, *_NUMBERS)))
+    shown = "coalesce(current_text, current_num::varchar)"
+    return _run() + (
+        f"SELECT row_id, column_name, issue_type, {shown} AS current_value, md5('{{\"row_id\":\"' || row_id || "
+        f"'\",\"column_name\":\"' || column_name || '\"' || coalesce(',\"current_value\":\"' || {shown} || '\"', '') || "
+        "',\"issue_type\":\"' || issue_type || '\",\"source_method\":\"' || source_method || '\",\"reason\":\"' || reason || '\"}') AS issue_id, "
+        f"row_number() OVER (PARTITION BY row_id ORDER BY stage, CASE column_name {place} END)::integer AS place FROM found"
+    )
+
+
 _NA = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
@@ -407,6 +520,8 @@ def statements() -> dict[str, str]:
         + _invalid("raw", "transaction_id", "value", f"({_number('VALUE')}) IS NULL", "Column 'value' must be numeric.", number=False)
         + " UNION ALL "
         + _invalid("raw", "transaction_id", "value", f"({_number('VALUE')}) < 0", _BELOW, number=False)
+        + " UNION ALL "
+        + _invalid("raw", "transaction_id", "domain", f"DOMAIN NOT IN {_in(PRIORITIES)}", _ALLOWED, "medium", number=False)
         + f") SELECT {_VIEW}, current_value FROM found",
         "invalid_min_issues": "SELECT * EXCLUDE (current_value) FROM ("
         + _invalid("(SELECT 'A' || c_custkey AS account_id, c_acctbal AS balance FROM customer)", "account_id", "balance", "balance < 0", _BELOW)
@@ -466,6 +581,21 @@ def statements() -> dict[str, str]:
         "round(o_totalprice - c, 4) AS decision_score, (o_totalprice - c < 0)::integer AS is_anomaly FROM orders, cut",
         "attribution_exclude_self": _suspects("clean", True),
         "attribution_reference": _suspects("gaps", False),
+        "run_scores": _run() + "SELECT row_id, round(d, 6) AS decision_score, (d < 0)::integer AS is_anomaly, "
+        + ", ".join(f"CASE WHEN d < 0 THEN {c} END AS {c}" for c in ("domain", "value", "transaction_count"))
+        + " FROM scored JOIN dirty ON transaction_id = row_id",
+        "run_issues": _run() + _RUN_VIEW,
+        "run_issues_reference": _run(exclude_self=False) + _RUN_VIEW,
+        "run_issues_left_out": _run(left_out=True) + _RUN_VIEW,
+        "run_issue_order": _issue_order(),
+        "run_summary": _run() + _SUMMARY.replace("FROM issues", "FROM found"),
+        "run_profile": _run() + _profile().replace("FROM issues", "FROM found"),
+        "run_recommendations": _run() + "SELECT row_id, column_name, issue_type, coalesce(suggested_text, "
+        "CASE WHEN issue_type <> 'invalid' THEN suggested_num::varchar WHEN suggested_num = 0 THEN '0' END) AS suggested_value, "
+        "confidence, severity, reason, can_auto_fix FROM found",
+        "run_evaluation": _run().rstrip() + _EVALUATION.replace("FROM issues", "FROM found"),
+        "fix_conservative_all": _run_fixed("confidence >= 0.85"),
+        "fix_auto_all": _run_fixed("true"),
         "fix_conservative": _fixed("confidence >= 0.85"),
         "fix_auto": _fixed("true"),
         "fix_approved": _fixed("column_name = 'value'"),

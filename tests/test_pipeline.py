@@ -307,3 +307,18 @@ def test_every_check_has_a_query():
     from checks import oracles
 
     assert set(oracles.statements()) <= set(workloads.registered())
+
+
+def test_run_on_given_scores(spark, sf):
+    """A given score takes the forest's place; a repair then reaches missing and anomalous cells."""
+    dirty = tables.dirty_transactions(spark, sf)
+    spec = tables.transactions_spec().with_options(neighbours="exclude_self")
+    run = pipeline.run_detection(dirty, spec, given_score="CASE WHEN value >= 20000 THEN -value END")
+    assert run.model is None
+    unscored = run.scores.filter("raw_score IS NULL")
+    assert unscored.count() and unscored.filter("is_anomaly = 1").count() == 0
+    assert {r[0] for r in run.issues.select("issue_type").distinct().collect()} == {"missing", "invalid", "anomaly"}
+    fixed = run.fixed("auto")
+    assert fixed.count() == dirty.count()
+    assert fixed.filter("domain IS NULL OR location IS NULL OR value IS NULL OR transaction_count IS NULL").count() == 0
+    run.close()
