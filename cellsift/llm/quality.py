@@ -5,28 +5,31 @@ is known about the page without reading it. Both start from labelled documents;
 in each round each labels the unlabelled documents it is surest about for the
 other (Blum and Mitchell, 1998). Held-out labelled documents calibrate both
 (Platt scaling), and the combined view weighs the calibrated log odds on the
-same rows. Models are fitted on bounded samples; every document is scored.
+same rows. Labelled documents to fit on are a bounded sample; in every round all
+unlabelled documents are scored in Spark, and the surest of each label are lent.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellsift.llm.rules import labelled, text_statistics
 from cellsift.llm.words import _SPACE, slices, text_buffer
+from cellsift.sources.scratch import cut_lineage, drop_written
 
-#: Most labelled and unlabelled documents to learn from, on average; documented bounds.
+#: Most labelled documents to fit on, on average; a documented bound.
 LABELLED_ROWS = 20_000
-POOL_ROWS = 10_000
 ROUNDS = 5
+#: Groups of partitions among which the surest documents are found before the last choice.
+GROUPS = 64
 #: A calibrated probability from which a view's label is lent to the other view.
 CONFIDENT = 0.97
 #: Documents below this combined probability of good quality are rejected.
@@ -138,39 +141,65 @@ class Model(NamedTuple):
         return _chance(odds[0]), _chance(odds[1]), _chance(self.combined.odds(np.column_stack(odds)))
 
 
-def co_train(
-    text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS
-) -> Model:
-    """Fit both views on labelled rows, lend labels in rounds, calibrate on every fourth row."""
+class Lent(NamedTuple):
+    """Documents that one view labels for the other: ``to`` is the view that gets them."""
+
+    to: int
+    label: float
+    features: np.ndarray
+
+
+#: Takes views, calibrations and how many to lend of each label; a document goes to a view once.
+Lender = Callable[[list[Logistic], list[Logistic], dict[float, int]], list[Lent]]
+
+
+def co_train_with(text: np.ndarray, meta: np.ndarray, y: np.ndarray, lend: Lender, rounds: int = ROUNDS) -> Model:
+    """Fit both views on labelled rows, let labels be lent in rounds, calibrate on every fourth row."""
     held = np.arange(len(y)) % 4 == 3
     if min(y[~held].sum(), (1 - y[~held]).sum()) < 5 or min(y[held].sum(), (1 - y[held]).sum()) < 2:
         return Model((), (), None, float(y.mean()) if len(y) else 1.0, (0, 0))
-    x, pool = (text, meta), (pool_text, pool_meta)
+    x = (text, meta)
     lent_x: list[list[np.ndarray]] = [[], []]
     lent_y: list[list[np.ndarray]] = [[], []]
-    free = [np.ones(len(pool_text), dtype=bool), np.ones(len(pool_text), dtype=bool)]
     per_round = max(10, int((~held).sum()) // 10)
+    wanted = {label: max(1, int(per_round * share)) for label, share in ((1.0, y.mean()), (0.0, 1 - y.mean()))}
     for number in range(rounds + 1):
         views = [
             fit_logistic(np.vstack([x[v][~held], *lent_x[v]]), np.concatenate([y[~held], *lent_y[v]])) for v in (0, 1)
         ]
         calibration = [fit_logistic(views[v].odds(x[v][held])[:, None], y[held], 1e-3) for v in (0, 1)]
-        if number == rounds or not len(pool_text):
+        found = [] if number == rounds else [f for f in lend(views, calibration, wanted) if len(f.features)]
+        if not found:
             break
+        for some in found:
+            lent_x[some.to].append(some.features)
+            lent_y[some.to].append(np.full(len(some.features), some.label))
+    odds = np.column_stack([calibration[v].odds(views[v].odds(x[v][held])[:, None]) for v in (0, 1)])
+    combined = fit_logistic(odds, y[held], 1e-2)
+    lent = tuple(int(sum(map(len, lent_y[v]))) for v in (0, 1))
+    return Model(tuple(views), tuple(calibration), combined, float(y.mean()), lent)
+
+
+def co_train(
+    text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS
+) -> Model:
+    """``co_train_with`` for unlabelled rows at hand, of equally sure ones the first."""
+    pool = (pool_text, pool_meta)
+    free = [np.ones(len(pool_text), dtype=bool), np.ones(len(pool_text), dtype=bool)]
+
+    def lend(views: list[Logistic], calibration: list[Logistic], wanted: dict[float, int]) -> list[Lent]:
+        out = []
         for v in (0, 1):
             other = 1 - v
             p = _chance(calibration[v].odds(views[v].odds(pool[v])[:, None]))
             for label, sure in ((1.0, p), (0.0, 1 - p)):
-                share = y.mean() if label else 1 - y.mean()
                 some = np.flatnonzero(free[other] & (sure >= CONFIDENT))
-                some = some[np.argsort(-sure[some], kind="stable")][: max(1, int(per_round * share))]
+                some = some[np.argsort(-sure[some], kind="stable")][: wanted[label]]
                 free[other][some] = False
-                lent_x[other].append(pool[other][some])
-                lent_y[other].append(np.full(len(some), label))
-    odds = np.column_stack([calibration[v].odds(views[v].odds(x[v][held])[:, None]) for v in (0, 1)])
-    combined = fit_logistic(odds, y[held], 1e-2)
-    lent = tuple(int(sum(map(len, lent_y[v]))) for v in (0, 1))
-    return Model(tuple(views), tuple(calibration), combined, float(y.mean()), lent)
+                out.append(Lent(other, label, pool[other][some]))
+        return out
+
+    return co_train_with(text, meta, y, lend, rounds)
 
 
 def _columns(docs: DataFrame, text: str = "text") -> list[F.Column]:
@@ -197,19 +226,90 @@ def _sampled(docs: DataFrame, extra: list[str]) -> tuple[np.ndarray, np.ndarray,
     return np.vstack(rows["text"].tolist()), np.vstack(rows["meta"].tolist()), rows
 
 
-def learn(
-    docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS
-) -> Model:
-    """A model from about ``labelled_rows`` labelled and ``pool_rows`` unlabelled documents."""
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def _text_view(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for text in texts:
+        parts = [text_features(text.slice(b, e - b)) for b, e in slices(text)]
+        yield pa.array(list(np.vstack(parts)), pa.list_(pa.float64()))
+
+
+def unlabelled(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
+    """Features of all documents without a label, written once for all rounds: ``_id, x``, metadata, ``_row``."""
+    text, source, lang, n_chars = _columns(docs)
+    made = docs.select(
+        F.col("doc_id").cast("long").alias("_id"), _text_view(text).alias("x"),
+        source.alias("source"), lang.alias("lang"), n_chars.alias("n_chars"),
+    )
+    known = labels.select(F.col("doc_id").cast("long").alias("_id")).distinct()
+    free = made.join(known, "_id", "left_anti").withColumn("_key", F.xxhash64("x", "source", "lang", "n_chars"))
+    return cut_lineage(free.withColumn("_row", F.monotonically_increasing_id()), "pool", kept)
+
+
+def lender(pool: DataFrame) -> Lender:
+    """Scores all of ``pool`` in each round and lends the surest, of equally sure ones the least id.
+
+    What comes to the driver is what is lent: a share of the labelled sample.
+    """
+    gone: list[np.ndarray] = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)]
+
+    def lend(views: list[Logistic], calibration: list[Logistic], wanted: dict[float, int]) -> list[Lent]:
+        lent = [gone[0], gone[1]]
+
+        @F.arrow_udf("struct<to0:double,to1:double>")
+        def chances(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+            for x, row, *meta in columns:
+                both = (np.asarray(x.flatten()).reshape(len(x), -1), meta_features(*meta))
+                by = [_chance(calibration[v].odds(views[v].odds(both[v])[:, None])) for v in (0, 1)]
+                given = [pa.array(by[1 - to], mask=np.isin(np.asarray(row), lent[to])) for to in (0, 1)]
+                yield pa.StructArray.from_arrays(given, ["to0", "to1"])
+
+        columns = ("x", "_row", "source", "lang", "n_chars")
+        judged = pool.withColumn("_p", chances(*columns)).withColumn("_group", F.spark_partition_id() % GROUPS)
+        offers = F.array(*[
+            F.struct(F.lit(to).alias("to"), F.lit(label).alias("label"), sure.alias("sure"))
+            for to in (0, 1) for label, sure in ((1.0, F.col(f"_p.to{to}")), (0.0, 1 - F.col(f"_p.to{to}")))
+        ])
+        offers = F.filter(offers, lambda o: F.coalesce(o["sure"] >= CONFIDENT, F.lit(False)))
+        rows = judged.select("_id", "_key", *columns, "_group", F.inline(offers))
+        first = [F.desc("sure"), "_id", "_key", "_row"]
+        most = max(wanted.values())
+        # The surest of each group of partitions, then of all: no task meets all that are sure.
+        for by in (["to", "label", "_group"], ["to", "label"]):
+            place = F.row_number().over(Window.partitionBy(*by).orderBy(*first))
+            rows = rows.withColumn("_place", place).where(F.col("_place") <= most)
+        found = rows.drop("_group").toPandas()
+        out = []
+        for to in (0, 1):
+            for label in (1.0, 0.0):
+                some = found[(found["to"] == to) & (found["label"] == label)].sort_values("_place")[: wanted[label]]
+                gone[to] = np.concatenate([gone[to], some["_row"].to_numpy(dtype=np.int64)])
+                if not len(some):
+                    continue
+                meta = [pa.array(some[c], kind, from_pandas=True) for c, kind in zip(columns[2:], (pa.string(), pa.string(), pa.float64()))]
+                out.append(Lent(to, label, meta_features(*meta) if to else np.vstack(some["x"].tolist())))
+        return out
+
+    return lend
+
+
+def learn(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_ROWS) -> Model:
+    """A model from about ``labelled_rows`` labelled documents and all unlabelled ones.
+
+    Documents without id are unlabelled. Repeated rows are lent one by one.
+    Without usable labels nothing is lent.
+    """
     text, meta, rows = _sampled(labelled(docs, labels, labelled_rows), ["_id", "quality"])
-    total = docs.count()
-    pool = docs.where("doc_id is not null")
-    if total > pool_rows:
-        pool = pool.where(F.xxhash64(F.lit(3), F.col("doc_id").cast("long")) / float(1 << 64) + 0.5 < pool_rows / total)
-    pool = pool.withColumn("_id", F.col("doc_id").cast("long"))
-    pool = pool.join(labels.select(F.col("doc_id").cast("long").alias("_id")), "_id", "left_anti")
-    pool_text, pool_meta, _ = _sampled(pool, ["_id"])
-    return co_train(text, meta, rows["quality"].to_numpy(dtype=float), pool_text, pool_meta)
+    written: list[str] = []
+    ready: list[Lender] = []
+
+    def lend(*asked) -> list[Lent]:
+        if not ready:
+            ready.append(lender(unlabelled(docs, labels, written)))
+        return ready[0](*asked)
+
+    model = co_train_with(text, meta, rows["quality"].to_numpy(dtype=float), lend)
+    drop_written(docs.sparkSession, written)
+    return model
 
 
 def score(docs: DataFrame, model: Model, name: str = "_quality") -> DataFrame:
