@@ -22,12 +22,12 @@ FINER = 4
 FURTHER = 8
 
 
-def hashed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_bytes`` of the text in UTF-8, and ``h``: 60 bits of id and text."""
+def hashed(docs: DataFrame, *more: F.Column) -> DataFrame:
+    """``doc_id``, ``n_bytes`` of the text in UTF-8, ``h``: 60 bits of id and text, and columns ``more``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
     place = F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("long")
-    return docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), place.alias("h"))
+    return docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), place.alias("h"), *more)
 
 
 def _prefix(bits) -> F.Column:
@@ -81,8 +81,12 @@ def shards(docs: DataFrame, kept: list[str], limit: int = SHARD_BYTES) -> DataFr
     divides them into shards that fit. Null texts have 0 bytes; null ids are like
     others; other columns are ignored.
     """
-    rows = cut_lineage(hashed(docs), "hashed", kept)
-    found = directory(rows, limit, kept)
+    return _assigned(cut_lineage(hashed(docs), "hashed", kept), ["doc_id"], kept, limit)
+
+
+def _assigned(rows: DataFrame, carried: list[str], kept: list[str], limit: int) -> DataFrame:
+    """The shard of each row of a written table with ``n_bytes``, ``h`` and the columns ``carried``."""
+    found = directory(rows.select("n_bytes", "h"), limit, kept)
     sizes = [r["bits"] for r in found.select("bits").distinct().collect()]
     out = None
     for bits in sorted(sizes):
@@ -91,36 +95,41 @@ def shards(docs: DataFrame, kept: list[str], limit: int = SHARD_BYTES) -> DataFr
         out = part if out is None else out.union(part)
     if out is None:
         return rows.select(
-            "doc_id", "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("part"),
+            *carried, "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("depth"), F.lit(0).cast("long").alias("part"),
             F.lit(0).cast("long").alias("shard_bytes"), F.lit(0).cast("long").alias("shard_docs"),
         )
     shard = F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.bin("bucket"), F.col("depth"), F.lit("0")))
-    out = out.select("doc_id", "n_bytes", shard.alias("shard"), "depth", "shard_bytes", "shard_docs")
+    out = out.select(*carried, "n_bytes", shard.alias("shard"), "depth", "shard_bytes", "shard_docs")
     over = (F.col("shard_bytes") > limit) & (F.col("shard_docs") > 1)
     # Repeated rows are alike, so any of them may go to any part: by partition and place in it.
     place = cut_lineage(out.where(over).withColumn("at", F.monotonically_increasing_id()), "repeats", kept)
     fits = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("n_bytes"), F.lit(1))))
     inner = F.expr("at & ((1L << 33) - 1)")
     part = (F.expr("shiftright(at, 33)") * (1 << 32) + F.floor(inner / fits)).cast("long")
-    columns = ["doc_id", "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs"]
+    columns = [*carried, "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs"]
     return out.where(~over).withColumn("part", F.lit(0).cast("long")).select(*columns).union(
         place.withColumn("part", part).select(*columns)
     )
 
 
-def write_shards(docs: DataFrame, path: str, kept: list[str], limit: int = SHARD_BYTES) -> None:
-    """Write ``docs`` as Parquet, one folder per shard below ``path``.
+def _free_name(wanted: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    return next(n for n in (wanted, *(f"{wanted}_{i}" for i in range(1, len(taken) + 2))) if n not in taken)
+
+
+def write_shards(docs: DataFrame, path: str, kept: list[str], limit: int = SHARD_BYTES) -> tuple[str, str]:
+    """Write all rows and columns of ``docs`` as Parquet, one folder per shard and part below ``path``.
 
-    Rows are joined to their shard by id and text hash; null ids are matched as such.
+    Shards are named ``s`` and the hash prefix, so that a reader takes the names
+    for text. Rows that repeat beyond ``limit`` are dealt to parts that fit. Each
+    shard and part is one file, written by one task. Returns the names of the two
+    folder columns: ``shard`` and ``part``, with a number behind where ``docs``
+    has such a column. An empty table gives a folder without shards.
     """
-    found = shards(docs, kept, limit).select("doc_id", "shard", "depth").dropDuplicates(["doc_id", "shard"])
-    found = found.withColumnRenamed("doc_id", "_id")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
-    place = F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("long")
-    bits = F.lpad(F.bin(place), HASH_BITS, "0")
-    rows = docs.withColumn("_bits", bits).join(
-        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.expr("left(_bits, depth)") == F.col("shard"))
-    )
-    rows = rows.drop("_bits", "_id", "depth")
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = cut_lineage(hashed(docs, whole), "hashed", kept)
+    shard, part = _free_name("shard", docs.columns), _free_name("part", docs.columns)
+    out = _assigned(rows, ["_row"], kept, limit)
+    out = out.select("_row.*", F.concat(F.lit("s"), "shard").alias(shard), F.col("part").alias(part))
+    out.repartition(shard, part).write.partitionBy(shard, part).parquet(path)
+    return shard, part
