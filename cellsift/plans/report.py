@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,39 +65,54 @@ def _numeric(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.NumericType, T.BooleanType))
 
 
+def _cell(f: T.StructField):
+    c = F.col(f"`{f.name}`")
+    return cells.nan_to_null(c) if isinstance(f.dataType, cells.FLOAT_TYPES) else c
+
+
+def _measures(total, present, distinct, low, high) -> list:
+    return [
+        F.coalesce(total - present, F.lit(0)).cast("long").alias("missing_count"),
+        F.coalesce(F.round(F.try_divide(total - present, total), 4), F.lit(0.0)).alias("missing_rate"),
+        distinct.cast("long").alias("unique_count"),
+        low.cast("double").alias("min"),
+        high.cast("double").alias("max"),
+    ]
+
+
+def _measured_column(df: DataFrame, place: int, f: T.StructField, approx_unique: bool) -> DataFrame:
+    """One row of figures; exact ones come from the groups of equal cells.
+
+    The groups hold each value once with its number of rows, so gaps, distinct
+    values and range need no second look at the rows.
+    """
+    null, name = F.lit(None), [F.lit(place).alias("_place"), F.lit(f.name).alias("column_name")]
+    grouped = not (approx_unique or isinstance(f.dataType, T.MapType))
+    if grouped:
+        rows = df.groupBy(_cell(f).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        total, present, distinct = F.sum("n"), F.coalesce(F.sum(F.expr("if(v IS NULL, 0L, n)")), F.lit(0)), F.count("v")
+    else:
+        rows = df.select(_cell(f).alias("v"))
+        total, present = F.count(F.lit(1)), F.count("v")
+        distinct = null if isinstance(f.dataType, T.MapType) else F.approx_count_distinct("v")
+    low, high = (F.min("v"), F.max("v")) if _numeric(f.dataType) else (null, null)
+    return rows.agg(*_measures(total, present, distinct, low, high)).select(*name, "*")
+
+
 def column_profile(
     df: DataFrame, issues: DataFrame, approx_unique: bool = False, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per column: gaps, distinct values, range and issue counts."""
-    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    distinct = F.approx_count_distinct if approx_unique else F.count_distinct
-    measures = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        c = cells.nan_to_null(c) if isinstance(f.dataType, cells.FLOAT_TYPES) else c
-        measures.append(F.count(c).alias(f"n{i}"))
-        if not isinstance(f.dataType, T.MapType):
-            measures.append(distinct(c).alias(f"u{i}"))
-        if _numeric(f.dataType):
-            measures += [F.min(c).cast("double").alias(f"l{i}"), F.max(c).cast("double").alias(f"h{i}")]
-    wide = df.agg(*measures)
-    have = set(wide.columns)
-    null = F.lit(None).cast("double")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("_place"),
-                F.lit(f.name).alias("column_name"),
-                (F.col("_rows") - F.col(f"n{i}")).alias("missing_count"),
-                F.coalesce(
-                    F.round(F.try_divide(F.col("_rows") - F.col(f"n{i}"), F.col("_rows")), 4), F.lit(0.0)
-                ).alias("missing_rate"),
-                (F.col(f"u{i}") if f"u{i}" in have else F.lit(None).cast("long")).alias("unique_count"),
-                (F.col(f"l{i}") if f"l{i}" in have else null).alias("min"),
-                (F.col(f"h{i}") if f"h{i}" in have else null).alias("max"),
-            )
-            for i, f in enumerate(fields)
-        ]
+    """One row per column: gaps, distinct values, range and issue counts.
+
+    Every column is grouped by itself: the scan of a column reads that column
+    alone, equal cells are combined before the shuffle, and rows are never
+    multiplied by the number of columns. A table in a row format is read once
+    per column; write it in a columnar one first. Maps have no distinct count.
+    An empty table has gaps, rates and distinct counts of 0.
+    """
+    places = {f.name: (i, f) for i, f in enumerate(df.schema.fields) if columns is None or f.name in columns}
+    measured = reduce(
+        DataFrame.unionByName, [_measured_column(df, i, f, approx_unique) for i, f in places.values()]
     )
     counts = issues.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("issue_count"),
@@ -105,8 +121,7 @@ def column_profile(
     )
     # Both sides have one row per column of the table.
     return (
-        wide.select(F.inline(rows))
-        .join(F.broadcast(counts), "column_name", "left")
+        measured.join(F.broadcast(counts), "column_name", "left")
         .fillna(0, ["issue_count", "anomaly_count", "invalid_count"])
         .orderBy("_place")
         .drop("_place")

@@ -260,6 +260,22 @@ def test_profile(spark):
     assert report.column_profile(df.limit(0), issues).first()["missing_rate"] == 0.0
 
 
+def test_profile_does_not_multiply_rows(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(1.0, "a", {"k": 1}), (nan, "a", None), (0.0, None, None), (-0.0, "b", {"k": 2})],
+        "x double, s string, m map<string,int>",
+    )
+    issues = spark.createDataFrame([], "column_name string, issue_type string")
+    profile = report.column_profile(df, issues)
+    assert "Expand" not in profile._jdf.queryExecution().executedPlan().toString()
+    got = {r["column_name"]: (r["missing_count"], r["unique_count"], r["min"], r["max"]) for r in profile.collect()}
+    assert got == {"x": (1, 2, 0.0, 1.0), "s": (1, 2, None, None), "m": (2, None, None, None)}
+    assert [r["column_name"] for r in report.column_profile(df, issues, columns=["m", "x"]).collect()] == ["x", "m"]
+    empty = report.column_profile(df.limit(0), issues).filter("column_name = 's'").first()
+    assert (empty["missing_count"], empty["missing_rate"], empty["unique_count"]) == (0, 0.0, 0)
+
+
 def test_evaluation_counts(spark):
     schema = "row_id string, column_name string, issue_type string"
     truth = spark.createDataFrame([("1", "a", "missing"), ("1", "a", "missing"), ("2", "a", "invalid")], schema)
