@@ -12,6 +12,8 @@ Distance is squared Euclidean over z-scores plus the category penalty of
 3. A query looks into the leaf it falls into, which yields an upper bound of its
    k-th distance, and then into just those leaves whose box is closer than the
    bound. All others are ruled out by the box, so the result is exact.
+   Leaves above ``MAX_LEAF_ROWS`` are cut into cells on the executors, and the
+   same is done with cells, so that the number of leaves bounds no table.
 4. Leaf and query rows meet in groups of bounded size: big leaves are split by
    key hash, hot leaves get as many query chunks as their query count asks for.
 
@@ -22,7 +24,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -36,156 +37,24 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.storagelevel import StorageLevel
 
 from cellsift.operators.features import FittedFeatures
+from cellsift.operators.leaf_cells import LeafCells
+from cellsift.operators.space import (
+    LEAF_RUN, SLACK, LeafBoxes, SpaceCuts, batches, cut_space, matrix, part_of,
+)
 from cellsift.spec import SpecError
 
 LEAF_ROWS = 1024
+# Leaves of the first level, which the driver knows; larger tables get larger leaves.
 MAX_LEAVES = 131_072
+# Leaves above this have a second level.
+MAX_LEAF_ROWS = 16 * LEAF_ROWS
 SAMPLE_PER_LEAF = 16
-# Leaves that are ruled out together before they are looked at one by one.
-LEAF_RUN = 64
 # Largest sides of one group of the leaf join.
 MAX_GROUP_REFERENCE = 65_536
 MAX_GROUP_QUERIES = 8_192
 # Category lists up to this size are turned into a literal.
 MAX_KNOWN_LITERALS = 10_000
 DIST_DIGITS = 9
-SLACK = 1e-8
-# Cells of one distance matrix in a Python worker.
-MATRIX_CELLS = 2_000_000
-
-
-@dataclass(frozen=True)
-class SpaceCuts:
-    """Binary cuts over the feature space; leaves are numbered from 0."""
-
-    axis: np.ndarray
-    cut: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    leaf: np.ndarray
-
-    @property
-    def leaves(self) -> int:
-        return int(self.leaf.max()) + 1
-
-    def locate(self, points: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(points), dtype=np.int64)
-        rows = np.arange(len(points))
-        while True:
-            inner = self.leaf[node] < 0
-            if not inner.any():
-                return self.leaf[node]
-            at = node[inner]
-            goes_left = points[rows[inner], self.axis[at]] <= self.cut[at]
-            node[inner] = np.where(goes_left, self.left[at], self.right[at])
-
-
-def cut_space(sample: np.ndarray, numeric: int, leaves: int) -> SpaceCuts:
-    """Cut at sample medians, always across the axis that separates rows most."""
-    nodes: list[list] = []
-    next_leaf = 0
-
-    def spread(rows: np.ndarray, axis: int) -> float:
-        column = sample[rows, axis]
-        if axis < numeric:
-            return 2.0 * float(column.var())
-        _, counts = np.unique(column, return_counts=True)
-        return 2.0 * (1.0 - float(((counts / len(rows)) ** 2).sum()))
-
-    todo = [(np.arange(len(sample)), max(1, leaves), None, 0)]
-    while todo:
-        rows, want, parent, side = todo.pop()
-        here = len(nodes)
-        nodes.append([0, 0.0, 0, 0, -1])
-        if parent is not None:
-            nodes[parent][side] = here
-        axis = -1
-        if want > 1 and len(rows) > 1 and sample.shape[1]:
-            spreads = [spread(rows, a) for a in range(sample.shape[1])]
-            axis = int(np.argmax(spreads))
-            if spreads[axis] <= 0:
-                axis = -1
-        if axis < 0:
-            nodes[here][4] = next_leaf
-            next_leaf += 1
-            continue
-        ordered = np.sort(sample[rows, axis])
-        cut = ordered[(len(ordered) - 1) // 2]
-        if cut == ordered[-1]:
-            cut = ordered[ordered < cut][-1]
-        below = sample[rows, axis] <= cut
-        share = below.mean()
-        left_want = min(want - 1, max(1, round(want * share)))
-        nodes[here][:2] = [axis, cut]
-        todo.append((rows[~below], want - left_want, here, 3))
-        todo.append((rows[below], left_want, here, 2))
-    columns = list(zip(*nodes))
-    return SpaceCuts(
-        np.array(columns[0]), np.array(columns[1], dtype=float), np.array(columns[2]),
-        np.array(columns[3]), np.array(columns[4]),
-    )
-
-
-@dataclass(frozen=True)
-class LeafBoxes:
-    low: np.ndarray
-    high: np.ndarray
-    rows: np.ndarray
-    numeric: int
-
-    @property
-    def leaves(self) -> int:
-        return len(self.rows)
-
-    def _gaps(self, points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Least squared distance from each point to anything inside each box.
-
-        A missing category code stands for a category unknown at fit time.
-        """
-        out = np.zeros((len(points), len(low)))
-        for axis in range(points.shape[1]):
-            x = points[:, axis, None]
-            if axis < self.numeric:
-                gap = np.maximum(np.maximum(low[:, axis] - x, x - high[:, axis]), 0.0)
-                out += gap * gap
-            else:
-                outside = (x < low[:, axis]) | (x > high[:, axis])
-                out += np.where(np.isnan(x), 1.0, np.where(outside, 2.0, 0.0))
-        return out
-
-    def close_leaves(self, points: np.ndarray, limit: np.ndarray) -> list[np.ndarray]:
-        """For each point the leaves that may hold a row within its squared distance.
-
-        Leaves next to each other in number are next to each other in space, so
-        runs of them are ruled out together by their common box.
-        """
-        starts = np.arange(0, self.leaves, LEAF_RUN)
-        run_low = np.minimum.reduceat(self.low, starts)
-        run_high = np.maximum.reduceat(self.high, starts)
-        reach = limit[:, None] + SLACK
-        in_reach = self._gaps(points, run_low, run_high) <= reach
-        found_points, found_leaves = [], []
-        for run, start in enumerate(starts):
-            some = np.flatnonzero(in_reach[:, run])
-            if not len(some):
-                continue
-            stop = min(self.leaves, start + LEAF_RUN)
-            near = self._gaps(points[some], self.low[start:stop], self.high[start:stop]) <= reach[some]
-            q, leaf = np.nonzero(near & (self.rows[start:stop] > 0))
-            found_points.append(some[q])
-            found_leaves.append((leaf + start).astype(np.int32))
-        if not found_points:
-            return [np.zeros(0, dtype=np.int32)] * len(points)
-        owner, leaves = np.concatenate(found_points), np.concatenate(found_leaves)
-        leaves = leaves[np.argsort(owner, kind="stable")]
-        ends = np.cumsum(np.bincount(owner, minlength=len(points)))
-        return np.split(leaves, ends[:-1])
-
-
-def _batches(total: int, width: int):
-    step = max(1, MATRIX_CELLS // max(1, width))
-    for start in range(0, total, step):
-        yield start, min(total, start + step)
 
 
 def _codes(reference: pa.ChunkedArray, queries: pa.ChunkedArray):
@@ -206,7 +75,7 @@ def nearest_pairs(
     texts = [_codes(reference[c], queries[c]) for c in c_names]
     key_rank = pc.rank(reference["_key"], sort_keys="ascending", tiebreaker="first").to_numpy()
     found = []
-    for start, stop in _batches(queries.num_rows, reference.num_rows):
+    for start, stop in batches(queries.num_rows, reference.num_rows):
         dist = np.zeros((stop - start, reference.num_rows))
         for ref, qry in numbers:
             gap = qry[start:stop, None] - ref[None, :]
@@ -243,6 +112,8 @@ class NeighbourIndex:
         k: int,
         leaf_rows: int = LEAF_ROWS,
         seed: int = 42,
+        max_leaves: int = MAX_LEAVES,
+        max_leaf_rows: int = MAX_LEAF_ROWS,
     ):
         if not features.names:
             raise SpecError("neighbour search needs at least one feature column")
@@ -257,10 +128,18 @@ class NeighbourIndex:
         )
         distinct = self._first_per_point(rows).persist(StorageLevel.MEMORY_AND_DISK)
         total = distinct.count()
-        leaves = max(1, min(MAX_LEAVES, math.ceil(total / leaf_rows)))
+        leaves = max(1, min(max_leaves, math.ceil(total / leaf_rows)))
         self._cuts = self._sample_cuts(distinct, total, leaves, seed)
         self.rows = distinct.withColumn("_leaf", self._leaf_of()).persist(StorageLevel.MEMORY_AND_DISK)
         self._boxes = self._measure_boxes()
+        self._cells = None
+        if self._boxes.rows.max() > max_leaf_rows:
+            self._cells = LeafCells(
+                self.rows, self.features.names, self._axes(), len(self.features.z_names),
+                leaf_rows, max_leaf_rows, MAX_GROUP_REFERENCE, MAX_GROUP_QUERIES,
+            )
+            self.rows.unpersist()
+            self.rows = self._cells.rows
         distinct.unpersist()
         self._known = self._known_categories()
 
@@ -269,6 +148,8 @@ class NeighbourIndex:
         for df in (self.rows, *self._held):
             df.unpersist()
         self._held.clear()
+        if self._cells:
+            self._cells.close()
 
     # Building ------------------------------------------------------------
     def _first_per_point(self, rows: DataFrame) -> DataFrame:
@@ -303,7 +184,7 @@ class NeighbourIndex:
 
         @F.pandas_udf("int")
         def locate(*axes):
-            return pd.Series(cuts.locate(_matrix(axes)))
+            return pd.Series(cuts.locate(matrix(axes)))
 
         return locate(*self._axes())
 
@@ -385,13 +266,15 @@ class NeighbourIndex:
         return df
 
     def _nearest(self, points: DataFrame, name: str) -> DataFrame:
-        names = self.features.names
-        if self._cuts.leaves == 1:
+        names, cells = self.features.names, self._cells
+        if self._cuts.leaves == 1 and not cells:
             hits = self._leaf_join(points.withColumn("_leaf", F.lit(0)), self._pairs_schema(), bound_only=False)
         else:
             home = points.withColumn("_leaf", self._leaf_of())
+            home = cells.home(home, self.keep) if cells else home
             bounds = self._leaf_join(home, self._bound_schema(), bound_only=True)
-            wide = bounds.withColumn("_leaf", F.explode(self._close_leaves())).drop("_bound")
+            wide = bounds.withColumn("_leaf", F.explode(self._close_leaves()))
+            wide = cells.within(wide) if cells else wide.drop("_bound")
             hits = self._leaf_join(wide, self._pairs_schema(), bound_only=False)
         by_point = Window.partitionBy(*names).orderBy("dist2", "_key")
         top = hits.withColumn("_place", F.row_number().over(by_point)).filter(F.col("_place") <= self.keep)
@@ -409,9 +292,9 @@ class NeighbourIndex:
 
         @F.pandas_udf("array<int>")
         def close_leaves(bound, *axes):
-            points, limit = _matrix(axes), bound.to_numpy(dtype=float)
+            points, limit = matrix(axes), bound.to_numpy(dtype=float)
             out = []
-            for start, stop in _batches(len(points), runs):
+            for start, stop in batches(len(points), runs):
                 out.extend(boxes.close_leaves(points[start:stop], limit[start:stop]))
             return pd.Series(out)
 
@@ -430,12 +313,17 @@ class NeighbourIndex:
         extra = [f for f in self.rows.schema.fields if f.name == "_key" or f.name.startswith("p__")]
         return T.StructType([*self._point_fields(), T.StructField("dist2", T.DoubleType()), *extra])
 
-    def _leaf_join(self, queries: DataFrame, schema: T.StructType, bound_only: bool) -> DataFrame:
-        """Meet queries and reference rows leaf by leaf, in groups of bounded size."""
-        names, keep = self.features.names, self.keep
-        z_names, c_names = self.features.z_names, self.features.c_names
-        queries = queries.persist(StorageLevel.MEMORY_AND_DISK)
-        self._held.append(queries)
+    def _splits(self, queries: DataFrame) -> tuple[list[str], DataFrame, int]:
+        """What a group is made of, parts of both sides for each leaf or cell, number of groups."""
+        if self._cells:
+            place = ["_leaf", "_cell"]
+            # As many rows as cells, so the plan is a table and is joined like one.
+            plan = queries.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).join(self._cells.cells, place).select(
+                *place, F.ceil(F.col("_rows") / MAX_GROUP_REFERENCE).cast("int").alias("_subs"),
+                F.ceil(F.col("_n") / MAX_GROUP_QUERIES).cast("int").alias("_chunks"),
+            ).persist(StorageLevel.MEMORY_AND_DISK)
+            self._held.append(plan)
+            return place, plan, plan.agg(F.sum(F.col("_subs") * F.col("_chunks"))).first()[0] or 0
         asked = {r["_leaf"]: r["count"] for r in queries.groupBy("_leaf").count().collect()}
         # One row per leaf: at most MAX_LEAVES rows are broadcast.
         plan = [
@@ -443,15 +331,24 @@ class NeighbourIndex:
             for leaf, n in asked.items()
         ]
         splits = F.broadcast(self.spark.createDataFrame(plan, "_leaf int, _subs int, _chunks int"))
+        return ["_leaf"], splits, sum(subs * chunks for _, subs, chunks in plan)
+
+    def _leaf_join(self, queries: DataFrame, schema: T.StructType, bound_only: bool) -> DataFrame:
+        """Meet queries and reference rows leaf by leaf, in groups of bounded size."""
+        names, keep = self.features.names, self.keep
+        z_names, c_names = self.features.z_names, self.features.c_names
+        queries = queries.persist(StorageLevel.MEMORY_AND_DISK)
+        self._held.append(queries)
+        place, splits, groups = self._splits(queries)
         left = (
-            self.rows.join(splits, "_leaf")
+            self.rows.join(splits, place)
             # By key and point: rows of one shared id must not stay together.
             .withColumn("_sub", part_of(["_key", *names], F.col("_subs")))
             .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
             .drop("_subs", "_chunks")
         )
         right = (
-            queries.select(*names, "_leaf").join(splits, "_leaf")
+            queries.select(*names, *place).join(splits, place)
             .withColumn("_chunk", part_of(names, F.col("_chunks")))
             .withColumn("_sub", F.explode(F.sequence(F.lit(0), F.col("_subs") - 1)))
             .drop("_subs", "_chunks")
@@ -475,9 +372,8 @@ class NeighbourIndex:
                 out = out.append_column(c, reference[c].take(pa.array(r)))
             return out.cast(arrow_schema)
 
-        group = ["_leaf", "_sub", "_chunk"]
+        group = [*place, "_sub", "_chunk"]
         # Work grows with pairs, not bytes, so the number of tasks is set here.
-        groups = sum(subs * chunks for _, subs, chunks in plan)
         context = self.spark.sparkContext
         shuffles = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         tasks = max(1, min(groups, max(shuffles, context.defaultParallelism)))
@@ -487,16 +383,3 @@ class NeighbourIndex:
             # Parts of a split leaf give one bound each; every one of them holds.
             return met.groupBy(*names).agg(F.min("_bound").alias("_bound"))
         return met
-
-
-def part_of(columns: list[str], parts: Column) -> Column:
-    """Number of the part a row of a split leaf goes to."""
-    return F.pmod(F.xxhash64(*columns), parts).cast("int")
-
-
-def _matrix(axes) -> np.ndarray:
-    if not axes:
-        return np.zeros((0, 0))
-    return np.column_stack([a.to_numpy(dtype=float) for a in axes])
-
-

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellsift import ColumnRule, QualitySpec, SpecError
-from cellsift.operators import neighbours
+from cellsift.operators import leaf_cells, neighbours
 from cellsift.operators.features import FittedFeatures, NumericStats, fit_features
 from cellsift.operators.neighbours import NeighbourIndex, cut_space
 from cellsift.sources.scratch import cut_lineage
@@ -76,6 +76,33 @@ def test_split_leaves_and_query_chunks(spark, monkeypatch):
     assert found(index.k_nearest(qry)) == want
 
 
+@pytest.mark.parametrize("max_leaves", [1, 3])
+def test_large_leaves_have_a_second_level(spark, monkeypatch, max_leaves):
+    """Few leaves, small cells, two children of a cell in a level: the answer stays the same."""
+    monkeypatch.setattr(leaf_cells, "FAN_OUT", 4)
+    monkeypatch.setattr(neighbours, "MAX_GROUP_REFERENCE", 50)
+    monkeypatch.setattr(neighbours, "MAX_GROUP_QUERIES", 20)
+    reference = random_rows(11, 500, "r", 0.2)
+    queries = reference[:40] + random_rows(12, 60, "q") + [("far", 900.0, -900.0, "x"), ("odd", 0.1, 0.1, "unseen")]
+    ref, qry = spark.createDataFrame(reference, SCHEMA), spark.createDataFrame(queries, SCHEMA)
+    index = NeighbourIndex(ref, FEATURES, "id", ["a", "g"], 5, leaf_rows=16, max_leaves=max_leaves, max_leaf_rows=30)
+    sizes = index.rows.groupBy("_leaf", "_cell").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 30 and sizes[1] > 16 and index._boxes.leaves <= max_leaves
+    want = brute([r.asDict() for r in ref.collect()], [q.asDict() for q in qry.collect()], 5)
+    assert found(index.k_nearest(qry)) == want
+    index.close()
+
+
+def test_points_that_no_cut_separates_stay_one_cell(spark):
+    """Equal coordinates end the cutting; the rows of the cell still meet in bounded groups."""
+    ref = spark.createDataFrame([(f"r{i:02d}", 1.0, 1.0, "x") for i in range(40)], SCHEMA)
+    index = NeighbourIndex(ref, FEATURES, "id", [], 5, leaf_rows=2, max_leaves=2, max_leaf_rows=3)
+    assert index.rows.select("_leaf", "_cell").distinct().count() == 1 and index.rows.count() == 6
+    got = found(index.k_nearest(spark.createDataFrame([("q", 2.0, 1.0, "x")], SCHEMA)))
+    assert got == {"q": [(1.0, f"r{i:02d}") for i in range(5)]}
+    index.close()
+
+
 def test_partitioning_does_not_matter(spark):
     ref = spark.createDataFrame(random_rows(5, 400, "r", 0.3), SCHEMA)
     qry = spark.createDataFrame(random_rows(6, 50, "q"), SCHEMA)
