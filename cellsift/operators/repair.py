@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellsift.functions import cells
 from cellsift.operators.bloom import IdFilter, id_key
-from cellsift.sources.scratch import cut_lineage
+from cellsift.sources.scratch import cut_lineage, drop_written
 from cellsift.spec import QualitySpec, SpecError
 
 MODES = ("conservative", "auto", "approved")
@@ -75,7 +76,50 @@ def apply_fixes(
     return rederive(fixed) if rederive else fixed
 
 
-def _takes_number(field) -> bool:
-    from pyspark.sql import types as T
+def repair_in_place(
+    spark: SparkSession,
+    path: str,
+    partitions: list[str],
+    issues: DataFrame,
+    spec: QualitySpec,
+    mode: str = "conservative",
+    approvals: DataFrame | None = None,
+    rederive=None,
+    schema: T.StructType | None = None,
+) -> int:
+    """Repair a table of Parquet files stored by ``partitions``; returns how many were rewritten.
+
+    Only partitions with a row that has an accepted fix are read and replaced; the
+    files of all others stay as they are. The repaired rows are first written to
+    the scratch folder, so that a job that is lost while it replaces partitions
+    can be run again from there. A fix of a partition column, or a
+    ``rederive`` that changes one, would move rows and is refused before anything
+    is replaced. ``schema`` spares the types of partition columns being guessed.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df, kept = reader.parquet(path), []
+    fixes = cut_lineage(accepted_fixes(issues, spec, mode, approvals).filter("row_id IS NOT NULL"), "accepted", kept)
+    moved = fixes.filter(F.col("column_name").isin(list(partitions)))
+    if not moved.isEmpty():
+        raise SpecError(f"Fixes of partition columns move rows: {partitions}")
+    place = F.array(*[id_key(F.col(f"`{c}`")) for c in partitions])
+    own = id_key(F.col(f"`{spec.id_column}`"))
+    ids = cut_lineage(fixes.select(id_key(F.col("row_id")).alias("_row")).distinct(), "fixed_ids", kept)
+    seen = IdFilter(ids).marked(df.select(own.alias("_row"), place.alias("_place")), F.col("_row"), "_hit")
+    # Partitions only, which the driver lists anyway to plan the scan.
+    touched = sorted(r[0] for r in seen.filter("_hit").join(ids, "_row", "left_semi").select("_place").distinct().collect())
+    if touched:
+        among = place.isin([F.array(*[F.lit(v) for v in values]) for values in touched])
+        fixed = apply_fixes(df.filter(among), fixes, spec, mode, approvals, rederive, kept)
+        fixed = cut_lineage(fixed, "repaired_partitions", kept)
+        if sorted(r[0] for r in fixed.select(place.alias("_place")).distinct().collect()) != touched:
+            raise SpecError(f"Repairs changed partition columns: {partitions}")
+        # Small parts of a partition are put together, large ones are split.
+        whole = fixed.hint("rebalance", *partitions)
+        whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    drop_written(spark, kept)
+    return len(touched)
 
+
+def _takes_number(field) -> bool:
     return isinstance(field.dataType, (T.NumericType, T.BooleanType))

@@ -53,6 +53,18 @@ SELECT transaction_id,
 FROM (SELECT *, cast(cast(date AS date) AS string) AS day, cast(value AS string) AS amount FROM {{tx}}) AS t
 """
 
+# The raw table as lines of a file. Three of sixteen are damaged: a cell is lost, one
+# too many, or the line breaks off where its second cell opens.
+_LINE_CELLS = ("transaction_id", "DATE", "DOMAIN", "LOCATION", "VALUE", "TRANSACTION_COUNT")
+_LINE = ", ',', ".join(f"'\"', coalesce({c}, ''), '\"'" for c in _LINE_CELLS)
+LINES_SQL = f"""
+SELECT *, CASE damage WHEN 0 THEN substr(line, 1, length(line) - length(TRANSACTION_COUNT) - 3)
+            WHEN 1 THEN concat(line, ',"x"') WHEN 2 THEN substr(line, 1, 13) ELSE line END AS record,
+       CASE damage WHEN 0 THEN 'too few cells' WHEN 1 THEN 'too many cells' WHEN 2 THEN 'open quote' END AS reason
+FROM (SELECT *, instr('0123456789abcdef', substr(md5(concat('line:', transaction_id)), 1, 1)) - 1 AS damage,
+             concat({_LINE}) AS line FROM {{raw}}) AS t
+"""
+
 # Product types with one character dropped, two swapped, or nothing like a type.
 _PDIGIT = "(instr('0123456789abcdef', substr(md5(concat('typo:', p_partkey)), {i}, 1)) - 1)"
 TYPO_SQL = f"""
@@ -100,6 +112,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RAW_SQL, tx=transactions(spark, sf_dir))
 
 
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(LINES_SQL, raw=raw_transactions(spark, sf_dir))
+
+
 def typo_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TYPO_SQL, part=table(spark, sf_dir, "part"))
 

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from cellsift.functions import cells
 from cellsift.operators import attribute, features, forest, normalize, recommend, repair, rules, seed
 from cellsift.operators.neighbours import NeighbourIndex
-from cellsift.plans import evaluate, pipeline, report
+from cellsift.plans import evaluate, pipeline, publish, report
 from cellsift.plans import tables as t
 from cellsift.sources.files import FileSink, FileSource, convert, text_schema
+from cellsift.sources.quarantine import read_with_quarantine
 from cellsift.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,17 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return FileSource(path, "csv", schema=text_schema(raw.columns)).read(spark)
 
 
+@query
+def csv_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Every line of a damaged file: as a row, or as text with the reason it is none."""
+    lines = t.raw_lines(spark, d)
+    path = scratch_path(spark, "lines")
+    lines.select("record").write.text(path)
+    schema = text_schema(t.raw_transactions(spark, d).columns)
+    found = read_with_quarantine(spark, path, schema, {"header": "false"})
+    return found.rows.unionByName(found.rejected.select("record", "reason"), allowMissingColumns=True)
+
+
 @query
 def format_convert(spark: SparkSession, d: str) -> DataFrame:
     """Parquet to ORC to JSON; the last step is read back with its schema."""
@@ -477,6 +489,15 @@ def run_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return _run(spark, d).recommendations().drop("issue_id", "current_value")
 
 
+@query
+def run_published(spark: SparkSession, d: str) -> DataFrame:
+    """The recommendations as a reader of published runs finds them."""
+    folder, run = scratch_path(spark, "published"), _run(spark, d)
+    publish.publish_run(run, folder, "first")
+    run.close()
+    return publish.read_published(spark, folder, "recommendations").drop("issue_id", "current_value")
+
+
 @query
 def run_evaluation(spark: SparkSession, d: str) -> DataFrame:
     """All findings against the seeded faults."""
@@ -513,6 +534,18 @@ def fix_auto(spark: SparkSession, d: str) -> DataFrame:
     return _fixed(spark, d, "auto")
 
 
+@query
+def fix_in_place(spark: SparkSession, d: str) -> DataFrame:
+    """The table stored by month; only months with a fix are replaced."""
+    dirty, spec = t.dirty_transactions(spark, d), _levenshtein_spec()
+    stored = dirty.withColumn("month", F.date_format("date", "yyyy-MM"))
+    path = scratch_path(spark, "by_month")
+    stored.hint("rebalance", "month").write.partitionBy("month").parquet(path)
+    issues = rules.as_issues(_invalid_suggestions(dirty, spec))
+    repair.repair_in_place(spark, path, ["month"], issues, spec, "auto", schema=stored.schema)
+    return spark.read.schema(stored.schema).parquet(path).drop("month")
+
+
 @query
 def fix_approved(spark: SparkSession, d: str) -> DataFrame:
     """Fixes of ``value`` are approved, all others are declined."""

@@ -7,12 +7,12 @@ is plain SQL over all rows, neighbours by comparing every pair.
 from __future__ import annotations
 
 from cellsift.plans.tables import (
-    GIVEN_SCORE, LABEL_SQL, PART_LABEL, PART_TYPES, PRIORITIES, RAW_SQL, TRANSACTIONS_SQL, TYPO_SQL,
+    GIVEN_SCORE, LABEL_SQL, LINES_SQL, PART_LABEL, PART_TYPES, PRIORITIES, RAW_SQL, TRANSACTIONS_SQL, TYPO_SQL,
 )
 
 
 def _duck(sql: str) -> str:
-    for name in ("orders", "lineitem", "customer", "nation", "part", "tx"):
+    for name in ("orders", "lineitem", "customer", "nation", "part", "tx", "raw"):
         sql = sql.replace("{" + name + "}", name)
     return sql.replace("AS string)", "AS varchar)").strip()
 
@@ -492,12 +492,24 @@ _NA = (
 _LINES_BAD = "l_quantity < 3 OR l_quantity > 48 OR l_returnflag NOT IN ('A', 'N')"
 
 
+def _recommended() -> str:
+    return (
+        _run() + "SELECT row_id, column_name, issue_type, coalesce(suggested_text, "
+        "CASE WHEN issue_type <> 'invalid' THEN suggested_num::varchar WHEN suggested_num = 0 THEN '0' END) AS suggested_value, "
+        "confidence, severity, reason, can_auto_fix FROM found"
+    )
+
+
 def statements() -> dict[str, str]:
     raw = _with(_RAW)
     typo = f"WITH {_TYPO}"
     return {
         "csv_roundtrip": raw + "SELECT transaction_id, "
         + ", ".join(f"CASE WHEN {c} NOT IN {_in(_NA)} THEN {c} END AS {c}" for c in _RAW_COLUMNS) + " FROM raw",
+        "csv_quarantine": _with(_RAW, f"lines AS ({_duck(LINES_SQL)})") + "SELECT "
+        + ", ".join(
+            f"CASE WHEN reason IS NULL AND {c} NOT IN {_in(_NA)} THEN {c} END AS {c}" for c in ("transaction_id", *_RAW_COLUMNS)
+        ) + ", CASE WHEN reason IS NOT NULL THEN record END AS record, reason FROM lines",
         "format_convert": "SELECT * FROM orders",
         "blank_to_null": raw + "SELECT transaction_id, "
         + ", ".join(f"{_blank_null(c)} AS {c}" for c in _RAW_COLUMNS) + " FROM raw",
@@ -590,14 +602,14 @@ def statements() -> dict[str, str]:
         "run_issue_order": _issue_order(),
         "run_summary": _run() + _SUMMARY.replace("FROM issues", "FROM found"),
         "run_profile": _run() + _profile().replace("FROM issues", "FROM found"),
-        "run_recommendations": _run() + "SELECT row_id, column_name, issue_type, coalesce(suggested_text, "
-        "CASE WHEN issue_type <> 'invalid' THEN suggested_num::varchar WHEN suggested_num = 0 THEN '0' END) AS suggested_value, "
-        "confidence, severity, reason, can_auto_fix FROM found",
+        "run_recommendations": _recommended(),
+        "run_published": _recommended(),
         "run_evaluation": _run().rstrip() + _EVALUATION.replace("FROM issues", "FROM found"),
         "fix_conservative_all": _run_fixed("confidence >= 0.85"),
         "fix_auto_all": _run_fixed("true"),
         "fix_conservative": _fixed("confidence >= 0.85"),
         "fix_auto": _fixed("true"),
+        "fix_in_place": _fixed("true"),
         "fix_approved": _fixed("column_name = 'value'"),
         "fix_last_wins_shared_ids": """
             WITH o AS (SELECT l_orderkey, count(*) AS lines, sum(l_quantity) AS quantity,
