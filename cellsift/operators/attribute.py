@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellsift.functions import arrays, cells
-from cellsift.operators.features import FittedFeatures
+from cellsift.operators.features import FittedFeatures, PreparedFeatures
 from cellsift.operators.neighbours import NeighbourIndex
 from cellsift.operators.rules import ANOMALY, ANOMALY_METHOD, issue_seq
 from cellsift.sources.scratch import cut_lineage
@@ -15,6 +15,9 @@ from cellsift.spec import QualitySpec
 # Score and confidence of an anomaly before a repair is known.
 CONFIDENCE_PER_DECISION = 5
 PLACEHOLDER_SEVERITY, PLACEHOLDER_SCORE = "medium", 0.5
+# Views lie this far apart, so that the square of the gap is beyond any distance inside one.
+VIEW_GAP = 1e100
+HIDDEN = "\0hidden"
 
 
 def attributable_columns(df: DataFrame, spec: QualitySpec) -> list[str]:
@@ -63,6 +66,21 @@ def suspicious_columns(df: DataFrame, spec: QualitySpec, near: str = "neighbours
     return wide.withColumn("suspects", F.array_compact(names)).select(*df.columns, "suspects")
 
 
+def _views(df: DataFrame, features: FittedFeatures, hidden: dict[int, set[str]], axis: str) -> DataFrame:
+    """A copy of each row for every view, with the features that the view hides made equal."""
+    wide = features.transform(df).withColumn("_view", F.explode(F.array(*[F.lit(v) for v in hidden])))
+
+    def shown(prefix: str, c: str, constant) -> Column:
+        out_of = [v for v, columns in hidden.items() if c in columns]
+        return F.when(F.col("_view").isin(out_of), constant).otherwise(F.col(f"{prefix}{c}"))
+
+    return wide.withColumns(
+        {f"z__{c}": shown("z__", c, F.lit(0.0)) for c in features.numeric}
+        | {f"c__{c}": shown("c__", c, F.lit(HIDDEN)) for c in features.categorical}
+        | {axis: F.col("_view") * F.lit(VIEW_GAP)}
+    )
+
+
 def suspicious_columns_left_out(
     df: DataFrame, reference: DataFrame, features: FittedFeatures, spec: QualitySpec,
     kept: list[str] | None = None,
@@ -70,25 +88,47 @@ def suspicious_columns_left_out(
     """Like ``suspicious_columns``, but a column is judged by neighbours found without it.
 
     The distance for a column leaves out the column itself and those derived
-    from it or feeding it. The table is written after each column, which keeps
-    every search a job of its own.
+    from it or feeding it. All columns are searched in one index: each row is in
+    it once for every column, with the features left out made equal and the
+    copies of different columns too far apart to be neighbours. A column for
+    which no feature is left stands out where it is missing.
     """
     columns = attributable_columns(df, spec)
-    flags, out = [], df
-    for c in columns:
-        rest = features.without(spec.related_columns(c))
-        if not rest.names:
-            flags.append(F.when(F.col(c).isNull(), F.lit(c)))
-            continue
-        index = NeighbourIndex(reference, rest, spec.id_column, [c], spec.knn_neighbors, seed=spec.random_state)
-        before = out.columns
-        near = index.k_nearest(out, exclude_self=spec.id_column, name="_near")
-        wide = with_neighbour_values(near, spec, "_near", [c])
-        judged = wide.withColumn(f"_odd__{c}", is_suspicious(wide, spec, c))
-        out = cut_lineage(judged.select(*before, f"_odd__{c}"), "left_out", kept)
+    hidden = {i: spec.related_columns(c) for i, c in enumerate(columns)}
+    searched = {i: left for i, left in hidden.items() if features.without(left).names}
+    # The number joins a row with its verdicts, as ids may repeat.
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()), "to_judge", kept)
+    found = F.array().cast("array<int>")
+    if searched:
+        axis = "z__view"
+        while axis in features.names:
+            axis += "_"
+        prepared = PreparedFeatures([*features.z_names, axis], features.c_names)
+        own = F.col(f"`{spec.id_column}`").alias("_id")
+        # Of a copy only the judged column is carried along.
+        payload = [F.when(F.col("_view") == i, F.col(columns[i])).alias(columns[i]) for i in searched]
+        near_rows = _views(reference, features, searched, axis).select(*prepared.names, own, *payload)
+        index = NeighbourIndex(
+            near_rows, prepared, "_id", [columns[i] for i in searched], spec.knn_neighbors, seed=spec.random_state
+        )
+        asked = _views(rows, features, searched, axis).select(*prepared.names, own, "_row", "_view", *columns)
+        near = index.k_nearest(asked, exclude_self="_id", name="_near")
+        near = near.withColumn("_near", F.filter("_near", lambda n: n["dist2"] < VIEW_GAP))
+        wide = with_neighbour_values(near, spec, "_near", [columns[i] for i in searched])
+        odd = F.coalesce(*[F.when(F.col("_view") == i, is_suspicious(wide, spec, columns[i])) for i in searched])
+        # At most one entry per column.
+        verdicts = wide.filter(odd).groupBy("_row").agg(F.collect_set("_view").alias("_odd"))
+        rows, found = rows.join(verdicts, "_row", "left"), F.col("_odd")
+    names = [
+        F.when(F.array_contains(found, i) if i in searched else F.col(c).isNull(), F.lit(c))
+        for i, c in enumerate(columns)
+    ]
+    out = cut_lineage(
+        rows.withColumn("suspects", F.array_compact(F.array(*names))).select(*df.columns, "suspects"), "left_out", kept
+    )
+    if searched:
         index.close()
-        flags.append(F.when(F.col(f"_odd__{c}"), F.lit(c)))
-    return out.withColumn("suspects", F.array_compact(F.array(*flags))).select(*df.columns, "suspects")
+    return out
 
 
 def anomaly_findings(df: DataFrame, spec: QualitySpec) -> Column:

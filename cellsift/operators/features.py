@@ -76,6 +76,21 @@ class FittedFeatures:
         )
 
 
+@dataclass(frozen=True)
+class PreparedFeatures:
+    """Feature columns that a table has already."""
+
+    z_names: list[str]
+    c_names: list[str]
+
+    @property
+    def names(self) -> list[str]:
+        return self.z_names + self.c_names
+
+    def columns(self, df: DataFrame) -> list[Column]:
+        return [F.col(n) for n in self.names]
+
+
 def fit_features(df: DataFrame, spec: QualitySpec) -> FittedFeatures:
     """Median, mean and population deviation per number, mode per category.
 

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.storagelevel import StorageLevel
 
-from cellsift.operators.features import FittedFeatures
+from cellsift.operators.features import FittedFeatures, PreparedFeatures
 from cellsift.operators.leaf_cells import LeafCells
 from cellsift.operators.space import (
     LEAF_RUN, SLACK, LeafBoxes, SpaceCuts, batches, cut_space, matrix, part_of,
@@ -106,7 +106,7 @@ class NeighbourIndex:
     def __init__(
         self,
         reference: DataFrame,
-        features: FittedFeatures,
+        features: FittedFeatures | PreparedFeatures,
         key: str,
         payload: Sequence[str],
         k: int,
