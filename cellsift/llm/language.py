@@ -131,7 +131,9 @@ def learn(docs: DataFrame, size: int = PROFILE) -> Profiles:
     rows = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size)
+    # A plain limit on the number lets every task drop all but its first ``size`` before the shuffle.
+    ranked = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    top = ranked.withColumn("rank", F.col("place") - 1)
     # As many rows as languages x ``size``.
     found = top.select("lang", "gram", "rank").collect()
     langs = sorted({r["lang"] for r in found})
