@@ -48,6 +48,9 @@ def cut_space(sample: np.ndarray, numeric: int, leaves: int) -> SpaceCuts:
 
     def spread(rows: np.ndarray, axis: int) -> float:
         column = sample[rows, axis]
+        # The variance of equal numbers may differ from 0 by rounding.
+        if column.min() == column.max():
+            return 0.0
         if axis < numeric:
             return 2.0 * float(column.var())
         _, counts = np.unique(column, return_counts=True)

@@ -76,6 +76,12 @@ def test_split_leaves_and_query_chunks(spark, monkeypatch):
     assert found(index.k_nearest(qry)) == want
 
 
+def test_equal_numbers_are_not_cut():
+    """Their computed variance is above 0."""
+    for number in (0.1, 1e100):
+        assert cut_space(np.full((7, 1), number), 1, 4).leaves == 1
+
+
 @pytest.mark.parametrize("max_leaves", [1, 3])
 def test_large_leaves_have_a_second_level(spark, monkeypatch, max_leaves):
     """Few leaves, small cells, two children of a cell in a level: the answer stays the same."""
