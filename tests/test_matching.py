@@ -44,6 +44,23 @@ def test_best_matches(spark, cutoff):
     assert got == best(texts, entries, cutoff)
 
 
+@pytest.mark.parametrize("cutoff", [0.6, 0.4])
+def test_labels_of_few_words_meet_by_length(spark, cutoff, monkeypatch):
+    """Labels share all their bigrams, so each pair meets once, by length, in groups of bounded size."""
+    monkeypatch.setattr(matching, "GROUP_TEXTS", 16)
+    monkeypatch.setattr(matching, "GROUP_ENTRIES", 8)
+    monkeypatch.setattr(matching, "PAIRS", 50)
+    entries = [f"{a} {b} Brand#{n}" for a in ("large", "blue", "réd") for b in ("ring", "bolt") for n in range(1, 14)]
+    texts = [f"new {e[: 4 + i % 9]}-{i}" for i, e in enumerate(entries)] + [e[:3] + e[4:] for e in entries[::5]]
+    texts += [e + " " + e + " " + e + " " + e for e in entries[:2]] + ["?" * 64, "?" * 65, "ring large Brand#1"]
+    entries += [entries[0] * 5, "x" * 64]
+    left, right = (matching._letters(column(spark, x).selectExpr("v as text", "length(v) as size")) for x in (texts, entries))
+    mine, theirs = matching._by_length(left, right, cutoff)
+    assert matching.meetings(mine, theirs, "_size") <= len(texts) * len(entries)
+    got = {r.text: (r.match, r.ratio) for r in matching.best_matches(column(spark, texts), column(spark, entries), cutoff).collect()}
+    assert got == best(texts, entries, cutoff)
+
+
 def test_no_entries(spark):
     assert matching.best_matches(column(spark, ["abc"]), column(spark, []), 0.6).count() == 0
     assert matching.best_matches(column(spark, []), column(spark, ["abc"]), 0.6).count() == 0
