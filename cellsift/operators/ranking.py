@@ -74,15 +74,22 @@ def row_order(seed: int | str, key: Column, columns: Sequence[str]) -> Column:
     return F.concat(hash_order(seed, key), F.md5(row))
 
 
-def hash_cuts(df: DataFrame, order: Column, ranks_of: Callable[[int], Sequence[int]]) -> list[_Mark]:
-    """For each rank its ``bound``, and ``left`` more rows wanted of those whose hash is ``prefix``."""
-    hashes = df.select(order.alias("h"))
+def hash_cuts(
+    df: DataFrame, order: Column, ranks_of: Callable[[int], Sequence[int]], head: Column | None = None
+) -> list[_Mark]:
+    """For each rank its ``bound``, and ``left`` more rows wanted of those whose hash is ``prefix``.
+
+    ``head``, the first 32 digits of ``order``, spares hashing whole rows where they suffice.
+    """
+    whole = df.select(order.alias("h"))
+    short = whole if head is None else df.select(head.alias("h"))
     marks: list[_Mark] = []
     done = 0
     for length in HASH_PREFIXES:
         open_prefixes = {m.prefix for m in marks if m.open}
         if done and not open_prefixes:
             break
+        hashes = short if length <= HEAD_DIGITS else whole
         scope = hashes.filter(F.substring("h", 1, done).isin(*open_prefixes)) if done else hashes
         # At most 16**3 groups per open rank where many rows can be left, then few.
         groups = scope.groupBy(F.substring("h", 1, length).alias("p")).count().orderBy("p").collect()
@@ -95,6 +102,13 @@ def hash_cuts(df: DataFrame, order: Column, ranks_of: Callable[[int], Sequence[i
     return marks
 
 
+def up_to(bound: str, order: Column, head: Column) -> Column:
+    """Whether a row is within a bound; whole rows are hashed only if the bound goes beyond ``head``."""
+    return head <= bound[:HEAD_DIGITS] if bound.endswith("g" * HEAD_DIGITS) else order <= bound
+
+
+# Digits of the hash of a key in ``row_order``.
+HEAD_DIGITS = 32
 # Prefix lengths of one or two md5 texts that ranks are narrowed by. The second is
 # narrowed as the first: any share of the rows can agree in all of the first.
 HASH_PREFIXES = (3, 6, 12, 32, 35, 38, 44, 64)

@@ -2,7 +2,8 @@
 
 Rows are taken in the order of a hash of seed and id, so the choice depends on
 neither partitioning nor engine. The hash at each wanted rank is found by
-counting; after that every row decides for itself and nothing is shuffled. Only
+counting; after that every row decides for itself and nothing is shuffled. The table
+is written once beforehand, so that what it is made from is not computed for every step. Only
 equal rows that a rank falls into are numbered, to take as many as are wanted.
 """
 
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellsift.functions import cells
-from cellsift.operators.ranking import hash_cuts, hash_order, row_order, row_positions
+from cellsift.operators.ranking import hash_cuts, hash_order, row_order, row_positions, up_to
+from cellsift.sources.scratch import cut_lineage
 from cellsift.spec import QualitySpec
 
 # Columns that lose their value, invalid values, outlier factors.
@@ -73,6 +75,7 @@ def seed_faults(
     """
     seed = spec.random_state if seed is None else seed
     plan = plan or FaultPlan()
+    df = cut_lineage(df, "unseeded")
     marked = _mark_faults(df, spec.id_column, rate, seed, plan)
     return _dirty_table(marked, df, plan), _labels(marked, spec.id_column, plan)
 
@@ -94,7 +97,7 @@ def _options(df: DataFrame, plan: FaultPlan) -> list[tuple[int, str, int, int, s
 def _mark_faults(df: DataFrame, id_column: str, rate: float, seed: int, plan: FaultPlan) -> DataFrame:
     """Add ``_fault``: the number of the fault that a row gets, or null."""
     key = F.col(id_column)
-    order = row_order(seed, key, df.columns)
+    order, head = row_order(seed, key, df.columns), hash_order(seed, key)
 
     def ranks(rows: int) -> list[int]:
         a, b, c = part_sizes(math.floor(rows * rate))
@@ -102,7 +105,7 @@ def _mark_faults(df: DataFrame, id_column: str, rate: float, seed: int, plan: Fa
 
     options = _options(df, plan)
     pick = _byte_of(hash_order(f"col:{seed}", key))
-    cuts = list(zip(("missing", "invalid", "anomaly"), hash_cuts(df, order, ranks)))
+    cuts = list(zip(("missing", "invalid", "anomaly"), hash_cuts(df, order, ranks, head)))
 
     def number(copy: Column | None = None, crossing: str = "") -> Column:
         """The fault of a row; ``copy`` is its place among the equal rows of the group ``crossing``."""
@@ -111,7 +114,7 @@ def _mark_faults(df: DataFrame, id_column: str, rate: float, seed: int, plan: Fa
             mine = [o for o in options if o[1] == kind]
             if not mine:
                 continue
-            inside = F.lit(False) if cut.bound is None else order <= cut.bound
+            inside = F.lit(False) if cut.bound is None else up_to(cut.bound, order, head)
             if cut.left and cut.prefix == crossing:
                 inside = inside | (copy < cut.left)
             by_place = {o[2]: o[0] for o in mine}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cellsift.operators import ranking, seed
 from cellsift.operators.features import label_encode
 from cellsift.plans import tables
+from cellsift.spec import bank_spec
 
 
 def test_positions_follow_the_order(spark):
@@ -170,3 +171,18 @@ def test_label_codes(spark):
     fitted = df.filter("g <> 'c'")
     with pytest.raises(Exception, match="unseen label"):
         label_encode(df, "g", "code", fitted_on=fitted).collect()
+
+
+def test_seeding_computes_its_table_once(spark):
+    """Ranks, dirty table and labels start from written rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def amount(i):
+        seen.add(1)
+        return float(i)
+
+    df = spark.range(300).select(F.concat(F.lit("T"), "id").alias("transaction_id"), amount("id").alias("value"))
+    dirty, labels = seed.seed_faults(df, bank_spec(), rate=0.2, plan=seed.FaultPlan(("value",), {"value": -1}, {"value": 10}))
+    assert (dirty.count(), labels.count()) == (300, 60)
+    assert seen.value == 300
