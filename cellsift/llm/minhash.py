@@ -6,11 +6,13 @@ probability equal to their weighted Jaccard similarity. Samples are banded,
 texts that share a band are candidates, and candidates are verified by the
 similarity itself, computed from all shingles.
 
-Weights: ``count * ln(1 + N / max(df, share * N)) ** power``. Document
-frequencies count all documents. Below ``share`` (1 %) of the documents all
-shingles weigh the same, so only shingles above it must be known by name; they
-number at most the mean shingles per document / ``share``. A fixed counting
-sketch finds which they may be, a second pass counts those exactly. ``power`` is
+Weights: ``count * ln(1 + N / df) ** power``, with the exact document frequency
+of every shingle, counted over all documents. Shingles in ``share`` (1 %) of the
+documents or more are known by name to every task; they number at most the mean
+shingles per document / ``share``. A fixed counting sketch finds which they may
+be, a second pass counts those exactly. All others are counted in a shuffle: each
+slice of texts sends its distinct shingles to buckets by their hash, and gets the
+frequency of each back, in order, without their names. ``power`` is
 small: a group of near copies makes its own shingles frequent, and a full IDF
 would let its edits outweigh them.
 
@@ -24,6 +26,7 @@ back links only, so no link between classes is missed and no pairs are listed.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,12 @@ SKETCH_BLOCK = 1 << 10
 #: Frequent shingles held by each task; the share is raised beyond it.
 MAX_FREQUENT = 1 << 20
 
+#: Slices of texts for each bucket of shingles, and bits of a bucket's number, least and most.
+BUCKET_SLICES = 4
+BUCKET_BITS = (4, 12)
+#: Bits of a shingle's hash that ``count_within`` keeps.
+VALUE_BITS = 52
+
 #: Members of a block of texts whose classes are compared with each other.
 FAMILY_BLOCK = 2048
 
@@ -132,16 +141,99 @@ class Weights:
     """TF-IDF weight of shingles, from the frequent ones alone."""
 
     def __init__(self, total: int, value: np.ndarray, count: np.ndarray, share: float, power: float):
-        self.value = value
-        rare = np.log1p(1 / share)
-        self.factor = (np.log1p(total / np.maximum(count, share * total)) / rare) ** power if total else count
+        self.value, self.total, self.power = value, total, power
+        # All weights are relative to that of a shingle in just this share of the documents.
+        self.unit = np.log1p(1 / share)
+        self.factor = (np.log1p(total / np.maximum(count, share * total)) / self.unit) ** power if total else count
+
+    def _find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place among the frequent shingles, and whether it is one."""
+        if not len(self.value):
+            return np.zeros(len(value), dtype=np.int64), np.zeros(len(value), dtype=bool)
+        at = np.minimum(np.searchsorted(self.value, value), len(self.value) - 1)
+        return at, self.value[at] == value
+
+    def known(self, value: np.ndarray) -> np.ndarray:
+        return self._find(value)[1]
+
+    def __call__(self, value: np.ndarray, count: np.ndarray, documents: np.ndarray) -> np.ndarray:
+        """``documents`` has the frequencies of the distinct values that are not known, in order."""
+        at, known = self._find(value)
+        factor = np.empty(len(value))
+        factor[known] = self.factor[at[known]]
+        some = value[~known]
+        rare = (np.log1p(self.total / documents) / self.unit) ** self.power
+        factor[~known] = rare[np.searchsorted(np.unique(some), some)]
+        return count * factor
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each slice of texts: their ids, digests and texts as lists."""
+    for batch in batches:
+        for begin, end in slices(batch.column(2)):
+            part = batch.slice(begin, end - begin)
+            ends = pa.array([0, end - begin], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(ends, c) for c in part.columns], names=["doc_id", "same", "text"]
+            )
+
+
+def rare_frequencies(texts: DataFrame, slices_: int, weights: Weights) -> DataFrame:
+    """``(slice, bucket, n)``: documents of each rare shingle of a slice, in order of bucket and hash.
+
+    ``texts`` has ``slice`` and the list ``text``, one row per slice. A bucket holds
+    the shingles of about ``BUCKET_SLICES`` slices, of which there are ``slices_``.
+    """
+    bits = min(max((slices_ // BUCKET_SLICES).bit_length(), BUCKET_BITS[0]), BUCKET_BITS[1])
+    shift = np.uint64(VALUE_BITS - bits)
+    kind = "<u4" if weights.total < 1 << 32 else "<u8"
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                value = count_within(*shingles(find_words(batch.column(1)[i].values)))[1]
+                value, n = np.unique(value[~weights.known(value)], return_counts=True)
+                bucket, first = np.unique(value >> shift, return_index=True)
+                ends = np.append(first[1:], len(value))
+                # The upper bits are the bucket, six bytes hold the rest; a slice has 4 096 texts at most.
+                six = np.ascontiguousarray(value).view(np.uint8).reshape(-1, 8)[:, :6]
+                n = n.astype("<u2")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(bucket), batch.column(0)[i].as_py()), pa.int64()), pa.array(bucket.astype(np.int32)),
+                        pa.array([six[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                        pa.array([n[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                    ],
+                    names=["slice", "bucket", "s", "n"],
+                )
+
+    def add(rows: pa.Table) -> pa.Table:
+        n = [np.frombuffer(x, dtype="<u2") for x in rows.column("n").to_pylist()]
+        ends = np.cumsum([len(x) for x in n])
+        value = np.zeros((ends[-1], 8), dtype=np.uint8)
+        value[:, :6] = np.frombuffer(b"".join(rows.column("s").to_pylist()), dtype=np.uint8).reshape(-1, 6)
+        _, place = np.unique(value.view(np.uint64).ravel(), return_inverse=True)
+        found = np.bincount(place, weights=np.concatenate(n))[place].astype(kind)
+        parts = [x.tobytes() for x in np.split(found, ends[:-1])]
+        return rows.select(["slice", "bucket"]).append_column("n", pa.array(parts, pa.binary()))
+
+    pieces = texts.select("slice", "text").mapInArrow(spread, "slice long, bucket int, s binary, n binary")
+    pieces = pieces.repartition(_tasks(texts, 1 << bits), "bucket")
+    return pieces.groupBy("bucket").applyInArrow(add, "slice long, bucket int, n binary")
+
 
-    def __call__(self, value: np.ndarray, count: np.ndarray) -> np.ndarray:
-        weight = count.astype(np.float64)
-        if len(self.value):
-            at = np.minimum(np.searchsorted(self.value, value), len(self.value) - 1)
-            weight *= np.where(self.value[at] == value, self.factor[at], 1.0)
-        return weight
+def _tasks(df: DataFrame, groups: int) -> int:
+    """Work grows with texts, not with the bytes that are left of them, so the number of tasks is set."""
+    spark = df.sparkSession
+    return max(1, min(groups, max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)))
+
+
+def _weighed(texts: pa.Array, frequencies: pa.Table, weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, shingle and weight, with the frequencies that belong to the slice."""
+    doc, value, count = count_within(*shingles(find_words(texts)))
+    kind = "<u4" if weights.total < 1 << 32 else "<u8"
+    parts = frequencies.sort_by("bucket").column("n").to_pylist()
+    return doc, value, weights(value, count, np.frombuffer(b"".join(parts), dtype=kind))
 
 
 def _random_tables() -> tuple[np.ndarray, ...]:
@@ -180,6 +272,11 @@ class Sampler:
         return out
 
 
+@lru_cache(maxsize=1)
+def _sampler(hashes: int) -> Sampler:
+    return Sampler(hashes)
+
+
 def band_keys(sample: np.ndarray, rows: int) -> np.ndarray:
     bits = sample.view(np.uint32).astype(np.uint64)
     bands = bits.shape[1] // rows
@@ -301,32 +398,41 @@ def _text_classes(
     total, value, count, share = frequent_shingles(docs.select("text"), share)
     weights = Weights(total, value, count, share, power)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(bands * rows)
-        for batch in batches:
-            for begin, end, (doc, value, count) in _texts(batch, "text"):
-                has, first = np.unique(doc, return_index=True)
-                keys = np.zeros((end - begin, bands), dtype=np.int64)
-                if len(has):
-                    keys[has] = band_keys(sampler(value, weights(value, count), first), rows)
-                empty = np.ones(end - begin, dtype=bool)
-                empty[has] = False
-                ends = np.arange(0, (end - begin + 1) * bands, bands, dtype=np.int32)
-                part = batch.slice(begin, end - begin)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(empty), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
-                    names=["doc_id", "same", "blank", "bands"],
-                )
-
     # Equal texts have the same 128-bit hash, computed beside the text.
-    same = F.unhex(F.md5("text")).alias("same")
-    signed = docs.select("doc_id", same, "text").mapInArrow(
-        sign, "doc_id long, same binary, blank boolean, bands array<long>"
+    packed = docs.select("doc_id", F.unhex(F.md5("text")).alias("same"), "text").mapInArrow(
+        _pack, "doc_id array<long>, same array<binary>, text array<string>"
+    )
+    # A number of its own for each slice, fixed once it is written.
+    packed = cut_lineage(packed.withColumn("slice", F.monotonically_increasing_id()), "slices", work)
+    number = packed.count()
+    tasks = _tasks(docs, number)
+    found = cut_lineage(rare_frequencies(packed, number, weights), "frequencies", work)
+    found = found.repartition(tasks, "slice").groupBy("slice")
+
+    def sign(part: pa.Table, frequencies: pa.Table) -> pa.Table:
+        ids, same, texts = (part.column(c).chunk(0)[0].values for c in ("doc_id", "same", "text"))
+        n = len(ids)
+        doc, value, weight = _weighed(texts, frequencies, weights)
+        has, first = np.unique(doc, return_index=True)
+        keys = np.zeros((n, bands), dtype=np.int64)
+        if len(has):
+            keys[has] = band_keys(_sampler(bands * rows)(value, weight, first), rows)
+        blank = np.ones(n, dtype=bool)
+        blank[has] = False
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * bands, bands, dtype=np.int32)), pa.array(keys.ravel()))
+        place = pa.array(np.full(n, part.column("slice")[0].as_py()), pa.int64())
+        return pa.table(
+            [ids, same, pa.array(blank), lists, place, pa.array(np.arange(n, dtype=np.int32))],
+            names=["doc_id", "same", "blank", "bands", "slice", "at"],
+        )
+
+    signed = packed.repartition(tasks, "slice").groupBy("slice").cogroup(found).applyInArrow(
+        sign, "doc_id long, same binary, blank boolean, bands array<long>, slice long, at int"
     )
     signed = cut_lineage(signed, "signatures", work)
     reps = signed.where("not blank").groupBy("same").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.count("*").alias("copies")
-    )
+        F.min(F.struct("doc_id", "slice", "at")).alias("m"), F.first("bands").alias("bands"), F.count("*").alias("copies")
+    ).select("same", "m.slice", "m.at", "bands", "copies")
     # A number of its own for each text, fixed once it is written.
     reps = cut_lineage(reps.withColumn("rep", F.monotonically_increasing_id()), "reps", work)
     member = signed.select("doc_id", "same").distinct()
@@ -344,16 +450,24 @@ def _text_classes(
     stars = band.where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
     stars = cut_lineage(stars, "stars", work)
 
-    def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, end, (doc, value, count) in _texts(batch, "text"):
-                lists = _lists(doc, end - begin, pa.array(value.astype(np.int64)), pa.array(weights(value, count)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), *lists], names=["rep", "s", "w"])
-
-    wanted = reps.join(band.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "same")
-    texts = docs.select("doc_id", same, "text").join(wanted, ["doc_id", "same"])
-    texts = texts.dropDuplicates(["rep"]).select("rep", "text")
-    bags = cut_lineage(texts.mapInArrow(bag, "rep long, s array<long>, w array<double>"), "bags", work)
+    def bag(part: pa.Table, frequencies: pa.Table) -> pa.Table:
+        if not part.num_rows:
+            return pa.table({"rep": pa.array([], pa.int64()), "s": pa.array([], pa.list_(pa.int64())), "w": pa.array([], pa.list_(pa.float64()))})
+        texts, asked = (part.column(c).chunk(0)[0].values for c in ("text", "asked"))
+        at, rep = (asked.field(i).to_numpy() for i in range(2))
+        order = np.argsort(at)
+        doc, value, weight = _weighed(texts, frequencies, weights)
+        wanted = np.isin(doc, at)
+        doc = np.searchsorted(at[order], doc[wanted])
+        lists = _lists(doc, len(at), pa.array(value[wanted].astype(np.int64)), pa.array(weight[wanted]))
+        return pa.table([pa.array(rep[order]), *lists], names=["rep", "s", "w"])
+
+    wanted = reps.join(band.select("rep").distinct(), "rep", "left_semi").groupBy("slice").agg(
+        F.collect_list(F.struct("at", "rep")).alias("asked")
+    )
+    asked = packed.select("slice", "text").join(wanted, "slice").repartition(tasks, "slice")
+    met = asked.groupBy("slice").cogroup(found).applyInArrow(bag, "rep long, s array<long>, w array<double>")
+    bags = cut_lineage(met, "bags", work)
 
     linked = cut_lineage(_verified(stars, bags, similarity).union(split), "links", work)
     first = components(linked, work)

@@ -311,6 +311,35 @@ def test_near_duplicates(spark, docs, empty):
     assert minhash.classes(empty, []).count() == 0
 
 
+def test_every_shingle_has_its_own_frequency(spark):
+    """Below the share that tasks know by name, frequencies count too: here they decide a pair."""
+    rows = []
+    for i in range(600):
+        text = [f"d{i}w{j}" for j in range(30)]
+        # A passage in five of 600 documents, less than a hundredth of them.
+        rows.append((i, " ".join(text + [f"p{j}" for j in range(30)] if i < 5 else text)))
+    base = [f"b{j}" for j in range(105)]
+    # Two texts that share much, and each a passage that three others have as well.
+    rows += [(700, " ".join(base + [f"q{j}" for j in range(13)])), (701, " ".join(base + [f"r{j}" for j in range(13)]))]
+    rows += [(710 + 10 * k + m, " ".join([f"{c}{j}" for j in range(13)] + [f"o{k}{m}x{j}" for j in range(30)])) for k, c in enumerate("qr") for m in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bags = {i: Counter(zip(*(t.split()[k:] for k in range(5)))) for i, t in rows}
+    freq = Counter(s for b in bags.values() for s in b)
+    a, b = bags[700], bags[701]
+
+    def similarity(idf):
+        both = sum(min(n, b[s]) * idf(s) for s, n in a.items() if s in b)
+        return both / (sum(n * idf(s) for x in (a, b) for s, n in x.items()) - both)
+
+    exact = similarity(lambda s: np.log1p(len(rows) / freq[s]) ** minhash.IDF_POWER)
+    flat = similarity(lambda s: np.log1p(len(rows) / max(freq[s], minhash.IDF_SHARE * len(rows))) ** minhash.IDF_POWER)
+    between = (exact + flat) / 2
+    assert flat < between < exact
+    got = {r.doc_id: r.class_id for r in minhash.classes(df, [], similarity=between, bands=60, rows=3).collect()}
+    assert got[700] == got[701] == 700
+    assert sum(k != v for k, v in got.items()) == 1
+
+
 def test_many_frequent_shingles(spark, monkeypatch):
     """Where the list of frequent shingles is too long, all are weighed by the share it was made with."""
     made = []
