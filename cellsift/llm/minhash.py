@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsift.llm.components import components, join_labels
-from cellsift.llm.words import count_within, find_words, mix, shingles, slices
+from cellsift.llm.words import count_texts, mix, slices
 from cellsift.operators.keyed import join_keyed
 from cellsift.sources.scratch import cut_lineage, drop_written
 
@@ -65,7 +65,7 @@ def _texts(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, tuple]]
     """Distinct shingles with counts, per slice of a batch."""
     column = batch.column(batch.schema.get_field_index(name))
     for begin, end in slices(column):
-        yield begin, end, count_within(*shingles(find_words(column.slice(begin, end - begin))))
+        yield begin, end, count_texts(column.slice(begin, end - begin))
 
 
 def _buckets(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +191,7 @@ def rare_frequencies(texts: DataFrame, slices_: int, weights: Weights) -> DataFr
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                value = count_within(*shingles(find_words(batch.column(1)[i].values)))[1]
+                value = count_texts(batch.column(1)[i].values)[1]
                 value, n = np.unique(value[~weights.known(value)], return_counts=True)
                 bucket, first = np.unique(value >> shift, return_index=True)
                 ends = np.append(first[1:], len(value))
@@ -230,7 +230,7 @@ def _tasks(df: DataFrame, groups: int) -> int:
 
 def _weighed(texts: pa.Array, frequencies: pa.Table, weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, shingle and weight, with the frequencies that belong to the slice."""
-    doc, value, count = count_within(*shingles(find_words(texts)))
+    doc, value, count = count_texts(texts)
     kind = "<u4" if weights.total < 1 << 32 else "<u8"
     parts = frequencies.sort_by("bucket").column("n").to_pylist()
     return doc, value, weights(value, count, np.frombuffer(b"".join(parts), dtype=kind))

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -17,6 +16,8 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
 SLICE_ROWS = 4096
+#: Bytes of text whose shingles are counted at once.
+COUNT_BYTES = 1 << 19
 SHINGLE = 5
 
 #: The six white-space bytes that end a word: space and \t \n \v \f \r.
@@ -88,11 +89,18 @@ def _power_table(base: int, prime: int, n: int) -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=3)
+#: Powers made so far, the largest number of them that was asked for.
+_powers_made: list[list[tuple[np.uint64, np.ndarray, np.ndarray]]] = []
+
+
 def _powers(bits: int) -> list[tuple[np.uint64, np.ndarray, np.ndarray]]:
-    """Each prime with the powers of its base and of the base's inverse."""
+    """Each prime with powers of its base and of the base's inverse, ``1 << bits`` of each at least."""
     n = 1 << bits
-    return [(np.uint64(p), _power_table(b, p, n), _power_table(pow(b, -1, p), p, n)) for p, b in zip(_PRIMES, _BASES)]
+    if not _powers_made or len(_powers_made[0][0][1]) < n:
+        # One table at a time: the former ones are dropped before it is made.
+        _powers_made.clear()
+        _powers_made.append([(np.uint64(p), _power_table(b, p, n), _power_table(pow(b, -1, p), p, n)) for p, b in zip(_PRIMES, _BASES)])
+    return _powers_made[0]
 
 
 def span_hashes(units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -101,7 +109,7 @@ def span_hashes(units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     Polynomials modulo two primes of 31 bits: modulo a power of two, long spans
     of two letters in the Thue-Morse order would all collide.
     """
-    powers = _powers(max(21, (len(units) - 1).bit_length()))
+    powers = _powers(max(19, (len(units) - 1).bit_length()))
     value = (end - start).astype(np.uint64) * _STEPS[0]
     wide = units.astype(np.uint64) + np.uint64(1)
     small = units.dtype == np.uint8 and len(units) <= 1 << 24
@@ -216,3 +224,16 @@ def count_within(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.nda
     count = np.diff(np.concatenate([at, [len(key)]]))
     key = key[at]
     return (key >> np.uint64(52)).astype(np.int64), key & np.uint64((1 << 52) - 1), count
+
+
+def count_texts(column: pa.Array, limit: int = COUNT_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``count_within`` for the shingles of up to 4 096 texts, a few texts at a time.
+
+    Hashing takes some 60 bytes for each byte of text, so texts go through it in
+    runs of ``limit`` bytes; a longer text is a run of its own.
+    """
+    parts = []
+    for begin, end in slices(column, limit):
+        doc, value, count = count_within(*shingles(find_words(column.slice(begin, end - begin))))
+        parts.append((doc + begin, value, count))
+    return tuple(np.concatenate(p) for p in zip(*parts)) if parts else count_within(*shingles(find_words(column)))
