@@ -39,7 +39,7 @@ from pyspark.storagelevel import StorageLevel
 from cellsift.operators.features import FittedFeatures, PreparedFeatures
 from cellsift.operators.leaf_cells import LeafCells
 from cellsift.operators.space import (
-    LEAF_RUN, SLACK, LeafBoxes, SpaceCuts, batches, cut_space, matrix, part_of,
+    LEAF_RUN, PAIR_CELLS, SLACK, LeafBoxes, SpaceCuts, batches, cut_space, matrix, part_of,
 )
 from cellsift.spec import SpecError
 
@@ -65,6 +65,21 @@ def _codes(reference: pa.ChunkedArray, queries: pa.ChunkedArray):
     return codes[: len(reference)], codes[len(reference):]
 
 
+def _reach(dist: np.ndarray, keep: int) -> np.ndarray:
+    """For each row a bound that ``keep`` of its distances do not exceed, as low as is cheap to find."""
+    sets = 16 * keep
+    deep = dist.shape[1] // sets
+    if deep < 4:
+        return np.partition(dist, keep - 1, axis=1)[:, keep - 1]
+    # Least distances of disjoint sets of columns are distances themselves.
+    least = dist[:, : deep * sets].reshape(len(dist), deep, sets).min(axis=1)
+    reach = np.partition(least, keep - 1, axis=1)[:, keep - 1]
+    unknown = np.isnan(reach)
+    if unknown.any():
+        reach[unknown] = np.partition(dist[unknown], keep - 1, axis=1)[:, keep - 1]
+    return reach
+
+
 def nearest_pairs(
     reference: pa.Table, queries: pa.Table, z_names: Sequence[str], c_names: Sequence[str], keep: int
 ):
@@ -75,17 +90,20 @@ def nearest_pairs(
     texts = [_codes(reference[c], queries[c]) for c in c_names]
     key_rank = pc.rank(reference["_key"], sort_keys="ascending", tiebreaker="first").to_numpy()
     found = []
-    for start, stop in batches(queries.num_rows, reference.num_rows):
+    for start, stop in batches(queries.num_rows, reference.num_rows, PAIR_CELLS):
         dist = np.zeros((stop - start, reference.num_rows))
+        part = np.empty_like(dist)
         for ref, qry in numbers:
-            gap = qry[start:stop, None] - ref[None, :]
-            dist += gap * gap
+            np.subtract(qry[start:stop, None], ref, out=part)
+            np.multiply(part, part, out=part)
+            dist += part
         for ref, qry in texts:
-            here = qry[start:stop, None]
-            dist += np.where(here < 0, 1.0, np.where(here != ref[None, :], 2.0, 0.0))
+            here = qry[start:stop]
+            np.multiply(here[:, None] != ref, 2.0, out=part)
+            part[here < 0] = 1.0
+            dist += part
         if reference.num_rows > keep:
-            kth = np.partition(dist, keep - 1, axis=1)[:, keep - 1]
-            q, r = np.nonzero(dist <= kth[:, None] + SLACK)
+            q, r = np.divmod(np.flatnonzero(dist <= _reach(dist, keep)[:, None] + SLACK), reference.num_rows)
         else:
             q, r = np.nonzero(np.ones_like(dist, dtype=bool))
         d = np.round(dist[q, r], DIST_DIGITS)

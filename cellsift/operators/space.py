@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 # Leaves that are ruled out together before they are looked at one by one.
 LEAF_RUN = 64
 SLACK = 1e-8
-# Cells of one distance matrix in a Python worker.
+# Cells of one matrix of points and boxes in a Python worker.
 MATRIX_CELLS = 2_000_000
+# Cells of one matrix of queries and rows, which is passed over many times and stays in a core's cache.
+PAIR_CELLS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -121,21 +123,27 @@ class LeafBoxes:
         """For each point the leaves that may hold a row within its squared distance.
 
         Leaves next to each other in number are next to each other in space, so
-        runs of them are ruled out together by their common box.
+        runs of them are ruled out together by their common box, and so are runs
+        of runs: a point looks at a number of boxes that grows with the levels.
         """
-        starts = np.arange(0, self.leaves, LEAF_RUN)
-        run_low = np.minimum.reduceat(self.low, starts)
-        run_high = np.maximum.reduceat(self.high, starts)
+        levels = [(self.low, self.high)]
+        while len(levels[-1][0]) > LEAF_RUN:
+            starts = np.arange(0, len(levels[-1][0]), LEAF_RUN)
+            low, high = levels[-1]
+            levels.append((np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)))
         reach = limit[:, None] + SLACK
-        in_reach = self.gaps(points, run_low, run_high) <= reach
         found_points, found_leaves = [], []
-        for run, start in enumerate(starts):
-            some = np.flatnonzero(in_reach[:, run])
-            if not len(some):
+        todo = [(len(levels) - 1, 0, np.arange(len(points)))]
+        while todo:
+            level, start, some = todo.pop()
+            low, high = (side[start : start + LEAF_RUN] for side in levels[level])
+            near = self.gaps(points[some], low, high) <= reach[some]
+            if level:
+                # The last one is taken first, so leaves come in order.
+                inner = np.flatnonzero(near.any(axis=0))[::-1].tolist()
+                todo += [(level - 1, (start + run) * LEAF_RUN, some[near[:, run]]) for run in inner]
                 continue
-            stop = min(self.leaves, start + LEAF_RUN)
-            near = self.gaps(points[some], self.low[start:stop], self.high[start:stop]) <= reach[some]
-            q, leaf = np.nonzero(near & (self.rows[start:stop] > 0))
+            q, leaf = np.nonzero(near & (self.rows[start : start + LEAF_RUN] > 0))
             found_points.append(some[q])
             found_leaves.append((leaf + start).astype(np.int32))
         if not found_points:
@@ -146,8 +154,8 @@ class LeafBoxes:
         return np.split(leaves, ends[:-1])
 
 
-def batches(total: int, width: int):
-    step = max(1, MATRIX_CELLS // max(1, width))
+def batches(total: int, width: int, cells: int = MATRIX_CELLS):
+    step = max(1, cells // max(1, width))
     for start in range(0, total, step):
         yield start, min(total, start + step)
 
