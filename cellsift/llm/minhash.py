@@ -26,11 +26,12 @@ back links only, so no link between classes is missed and no pairs are listed.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellsift.llm.components import components, join_labels
@@ -55,12 +56,33 @@ BUCKET_BITS = (4, 12)
 #: Bits of a shingle's hash that ``count_within`` keeps.
 VALUE_BITS = 52
 
+#: Shingles that are sampled at once; what a hash takes for them stays in cache.
+SAMPLE_BLOCK = 1 << 15
+
+#: Tables whose rows are long have small row groups, as a reader holds the rows of one as columns.
+LONG_ROWS = {"parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "1"}
+#: Whole texts go to Python so many at a time.
+TEXTS_AT_ONCE = 1024
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Members of a block of texts whose classes are compared with each other.
 FAMILY_BLOCK = 2048
 
 _MASK = np.uint64(0xFFFF)
 
 
+@contextmanager
+def _few_at_once(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside send ``TEXTS_AT_ONCE`` rows to Python at a time, or fewer where that was set."""
+    before = spark.conf.get(ARROW_ROWS)
+    if not 0 < int(before) < TEXTS_AT_ONCE:
+        spark.conf.set(ARROW_ROWS, str(TEXTS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def _texts(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, tuple]]:
     """Distinct shingles with counts, per slice of a batch."""
     column = batch.column(batch.schema.get_field_index(name))
@@ -259,17 +281,38 @@ class Sampler:
         """
         r, inverse, log_c, beta = self.tables
         log_weight = np.log(weight).astype(np.float32)
-        out = np.empty((len(first), len(self.factors)), dtype=np.float32)
-        for j, factor in enumerate(self.factors):
-            h = value * factor
-            i = (h >> np.uint64(48)).astype(np.intp)
-            b = beta[((h >> np.uint64(32)) & _MASK).astype(np.intp)]
-            t = np.floor(log_weight * inverse[i] + b)
-            t -= b
-            t += 1
-            t *= r[i]
-            out[:, j] = np.minimum.reduceat(log_c[((h >> np.uint64(16)) & _MASK).astype(np.intp)] - t, first)
-        return out
+        out = np.full((len(self.factors), len(first)), np.inf, dtype=np.float32)
+        size = min(SAMPLE_BLOCK, len(value))
+        hashes, place = np.empty(size, dtype=np.uint64), np.empty(size, dtype=np.uint64)
+        some, more = np.empty(size, dtype=np.float32), np.empty(size, dtype=np.float32)
+        for begin in range(0, len(value), SAMPLE_BLOCK):
+            part, log_w = value[begin : begin + SAMPLE_BLOCK], log_weight[begin : begin + SAMPLE_BLOCK]
+            n = len(part)
+            # Texts with shingles in this block; the first may have begun before it.
+            lo, hi = np.searchsorted(first, begin, side="right") - 1, np.searchsorted(first, begin + n)
+            cuts = np.maximum(first[lo:hi] - begin, 0)
+            h, i, t, x = hashes[:n], place[:n], some[:n], more[:n]
+            at = i.view(np.intp)
+            for j, factor in enumerate(self.factors):
+                np.multiply(part, factor, out=h)
+                np.right_shift(h, np.uint64(32), out=i)
+                np.bitwise_and(i, _MASK, out=i)
+                beta.take(at, out=x, mode="clip")
+                np.right_shift(h, np.uint64(48), out=i)
+                inverse.take(at, out=t, mode="clip")
+                t *= log_w
+                t += x
+                np.floor(t, out=t)
+                t -= x
+                t += 1
+                r.take(at, out=x, mode="clip")
+                t *= x
+                np.right_shift(h, np.uint64(16), out=i)
+                np.bitwise_and(i, _MASK, out=i)
+                log_c.take(at, out=x, mode="clip")
+                x -= t
+                np.minimum(out[j, lo:hi], np.minimum.reduceat(x, cuts), out=out[j, lo:hi])
+        return np.ascontiguousarray(out.T)
 
 
 @lru_cache(maxsize=1)
@@ -395,7 +438,8 @@ def _text_classes(
     work: list[str] = []
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.where("doc_id is not null")
-    total, value, count, share = frequent_shingles(docs.select("text"), share)
+    with _few_at_once(docs.sparkSession):
+        total, value, count, share = frequent_shingles(docs.select("text"), share)
     weights = Weights(total, value, count, share, power)
 
     # Equal texts have the same 128-bit hash, computed beside the text.
@@ -403,7 +447,8 @@ def _text_classes(
         _pack, "doc_id array<long>, same array<binary>, text array<string>"
     )
     # A number of its own for each slice, fixed once it is written.
-    packed = cut_lineage(packed.withColumn("slice", F.monotonically_increasing_id()), "slices", work)
+    with _few_at_once(docs.sparkSession):
+        packed = cut_lineage(packed.withColumn("slice", F.monotonically_increasing_id()), "slices", work, **LONG_ROWS)
     number = packed.count()
     tasks = _tasks(docs, number)
     found = cut_lineage(rare_frequencies(packed, number, weights), "frequencies", work)
@@ -467,7 +512,7 @@ def _text_classes(
     )
     asked = packed.select("slice", "text").join(wanted, "slice").repartition(tasks, "slice")
     met = asked.groupBy("slice").cogroup(found).applyInArrow(bag, "rep long, s array<long>, w array<double>")
-    bags = cut_lineage(met, "bags", work)
+    bags = cut_lineage(met, "bags", work, **LONG_ROWS)
 
     linked = cut_lineage(_verified(stars, bags, similarity).union(split), "links", work)
     first = components(linked, work)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2 << 20
 SLICE_ROWS = 4096
 #: Bytes of text whose shingles are counted at once.
-COUNT_BYTES = 1 << 19
+COUNT_BYTES = 1 << 17
 SHINGLE = 5
 
 #: The six white-space bytes that end a word: space and \t \n \v \f \r.

@@ -29,14 +29,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "stage", kept: list[str] | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "stage", kept: list[str] | None = None, **options: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Later steps start from the written rows, also after executors were lost.
     ``kept`` collects the path, for ``drop_written`` once the table is done with.
+    ``options`` are the writer's.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     if kept is not None:
         kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
