@@ -74,3 +74,19 @@ def test_column_without_other_features(spark):
     got = attribute.suspicious_columns_left_out(rows, reference, features, SPEC)
     suspects = {r["id"]: r["suspects"] for r in got.collect()}
     assert "a" not in suspects["q"] and "a" in suspects["p"]
+
+
+def test_verdicts_name_each_statistic_once(spark):
+    """The statistics of the neighbours are not written out again for every place that names them."""
+    near = "array<struct<dist2:double,key:string,a:double,b:double,g:string>>"
+    rows = [
+        (0, 0, 9.0, 1.0, "x", [(0.0, "r", 1.0, None, None)] * 3), (0, 1, 9.0, 1.0, "x", [(0.0, "r", None, 1.0, None)] * 3),
+        (0, 2, 9.0, 1.0, "x", [(0.0, "r", None, None, "y")] * 3), (1, 0, 1.0, 1.0, "x", [(0.0, "r", 1.0, None, None)] * 3),
+        (1, 2, 1.0, 1.0, None, []), (2, 0, 1.0, 1.0, "x", None),
+    ]
+    table = spark.createDataFrame(rows, f"_row long, _view int, a double, b double, g string, _near {near}")
+    table = table.repartition(1).withColumn("_near", F.filter(F.reverse("_near"), lambda n: n["dist2"] < 1))
+    got = attribute.odd_views(table, SPEC, dict(enumerate("abg")))
+    assert {r["_row"]: sorted(r["_odd"]) for r in got.collect()} == {0: [0, 2], 1: [2]}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_odd" in plan and plan.count("reverse(") == 1
